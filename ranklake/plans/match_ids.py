@@ -20,7 +20,7 @@ from ranklake.sinks.tables import append, conform, newest_state, write_state
 from ranklake.sources.parquet import last_shard_wins, scan_table
 
 FOLDERS = ["region", "platform", "shard_id"]
-STORED = StructType([*MATCH_IDS.fields]).add("shard_id", "int")
+STORED = StructType([*MATCH_IDS.fields]).add("shard_id", "integer")
 
 
 def new_ids(
