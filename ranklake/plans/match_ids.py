@@ -15,7 +15,6 @@ from ranklake.operators.normalize import id_records
 from ranklake.operators.summary import resume_plan
 from ranklake.operators.work import advance
 from ranklake.schemas import IDS_PER_PLAYER, MATCH_IDS, PLAYER_STATE, SHARDS
-from ranklake.session import settle
 from ranklake.sinks.tables import append, conform, newest_state, write_state
 from ranklake.sources.parquet import last_shard_wins, scan_table
 
@@ -58,7 +57,7 @@ def run_ids(
     stored = scan_table(spark, table, STORED).select("puuid", "match_id")
     fresh = new_ids(state, ids, stored, outcomes, as_of, ingested_at, cap)
     fresh = fresh.join(stored.distinct(), ["puuid", "match_id"], "left_anti").select(*fresh.columns)
-    rows = settle(assign_shard(conform(fresh, MATCH_IDS), "puuid", shards), "match-ids")
+    rows = assign_shard(conform(fresh, MATCH_IDS), "puuid", shards)
     append(rows.hint("rebalance", *FOLDERS).sortWithinPartitions(*FOLDERS, "puuid"), table, FOLDERS)
     waiting = due(state, as_of).select("puuid")
     moved = advance(state, outcomes.join(waiting, "puuid", "left_semi"), "puuid", {"last_read": as_date(as_of)}, ["puuid"])

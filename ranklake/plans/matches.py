@@ -63,7 +63,7 @@ def run_matches(
     rows = match_rows(judged, ingested_at)
     known = scan_table(spark, table, MATCHES).select("match_id")
     rows = rows.join(known, "match_id", "left_anti").select(*rows.columns)
-    write_partitioned(settle(rows, "matches"), table, FOLDERS, rows_per_file(FLUSH_BYTES["matches"]))
+    write_partitioned(rows, table, FOLDERS, rows_per_file(FLUSH_BYTES["matches"]))
     moved = advance(state, judged, "match_id", {"is_ingested": 1}, ["puuid", "source_file_path"])
     done = judged.where(is_done()).select("match_id")
     listings = scan_table(spark, listings_table, STORED)

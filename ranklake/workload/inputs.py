@@ -306,9 +306,9 @@ def apex_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Match replies: one JSON body per order.
-def match_body() -> Column:
+def match_body(day: str | Column = "o_orderdate") -> Column:
     low = F.col("o_orderpriority") == "5-LOW"
-    start = F.when(~low, ntz_millis("o_orderdate"))
+    start = F.when(~low, ntz_millis(day))
     info = F.struct(
         start.alias("gameStartTimestamp"),
         F.floor("o_totalprice").cast("long").alias("gameDuration"),
@@ -321,8 +321,9 @@ def match_body() -> Column:
     return F.to_json(F.struct(F.when(has_people, people).alias("metadata"), info.alias("info")))
 
 
-SQL_MATCH_COLUMNS = f"""
- CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE epoch_ms(o_orderdate) END AS game_start_timestamp,
+def sql_match_columns(day: str = "o_orderdate") -> str:
+    return f"""
+ CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE epoch_us({day}) // 1000 END AS game_start_timestamp,
  CAST(floor(o_totalprice) AS BIGINT) AS game_duration, o_orderpriority AS game_version,
  CAST(420 AS INTEGER) AS queue_id,
  CASE WHEN o_orderstatus <> 'P' THEN '["' || o_custkey || '"]' ELSE '[]' END AS participants,
@@ -330,10 +331,14 @@ SQL_MATCH_COLUMNS = f"""
 
 
 def match_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Replies to match requests; orders that are still open were not found."""
+    """Replies to match requests; orders that are still open were not found.
+
+    Matches start on the first of the month of their order, so that a day has many of them.
+    """
+    first = F.trunc(F.col("o_orderdate").cast("date"), "month").cast("timestamp_ntz")
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("match_id"),
         F.when(F.col("o_orderstatus") == "O", 404).otherwise(200).alias("status"),
         F.lit(None).cast("string").alias("retry_after"),
-        match_body().alias("body"),
+        match_body(first).alias("body"),
     )

@@ -239,11 +239,11 @@ _PENDING = f"""SELECT match_id, min((region, platform)) AS place FROM ({_LISTED}
 
 
 @query(
-    f"""SELECT p.match_id, {I.SQL_MATCH_COLUMNS}, place[1] AS region, place[2] AS platform,
+    f"""SELECT p.match_id, {I.sql_match_columns("date_trunc('month', o_orderdate)")}, place[1] AS region, place[2] AS platform,
           CAST(year(make_timestamp(ms * 1000)) AS INTEGER) AS year, CAST(month(make_timestamp(ms * 1000)) AS INTEGER) AS month,
           CAST(day(make_timestamp(ms * 1000)) AS INTEGER) AS date
         FROM ({_PENDING}) p
-        JOIN (SELECT *, CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE epoch_ms(o_orderdate) END AS ms FROM orders)
+        JOIN (SELECT *, CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE epoch_us(date_trunc('month', o_orderdate)) // 1000 END AS ms FROM orders)
           ON CAST(o_orderkey AS VARCHAR) = p.match_id
         WHERE o_orderstatus <> 'O'"""
 )

@@ -217,7 +217,7 @@ def strict_rejects(spark, sf_dir):
 
 
 @query(
-    f"""SELECT CAST(o_orderkey AS VARCHAR) AS match_id, {I.SQL_MATCH_COLUMNS},
+    f"""SELECT CAST(o_orderkey AS VARCHAR) AS match_id, {I.sql_match_columns()},
         o_orderstatus AS region, o_orderpriority AS platform FROM orders"""
 )
 def normalize_match(spark, sf_dir):
