@@ -26,3 +26,8 @@ def tier_rank(col: str | Column, ranks: dict[str, int] = TIER_RANKS, blank: str
     """Rank of a tier, 0 being best, in any letter case. Blank ranks as ``blank``, unknown last."""
     pairs = [F.lit(x) for name, rank in ranks.items() for x in (name, rank)]
     return F.coalesce(F.create_map(*pairs)[F.lower(blank_to(col, blank))], F.lit(UNKNOWN_TIER_RANK))
+
+
+def key_text(col: str | Column) -> Column:
+    """A key as text in which NULL is a value of its own, so that it groups and joins like any other."""
+    return F.coalesce(_col(col).cast("string"), F.lit("\u0000none"))

@@ -14,7 +14,7 @@ from ranklake.functions.dates import midnight_epoch
 from ranklake.operators.dedup import cap_per_key
 from ranklake.operators.filters import is_due
 from ranklake.operators.joins import flag_known
-from ranklake.operators.skew import join_unique
+from ranklake.operators.skew import hot_keys, join_unique
 from ranklake.schemas import IDS_PER_PLAYER, QUEUE
 
 
@@ -58,9 +58,11 @@ def increment(
     ``as_of`` takes the ids since that day, up to the first one already seen. Others take none.
     """
     waiting = state.where(is_due(as_of))
-    listed = join_unique(ids.where(F.col(queue_col) == F.lit(queue)), waiting, [key], "inner", [pos])
+    queued = ids.where(F.col(queue_col) == F.lit(queue))
+    listed = join_unique(queued, waiting, [key], "inner", [pos])
     recent = F.col("last_read").isNull() | (F.col(start) >= midnight_epoch("last_read") * 1000)
-    flagged = flag_known(listed.where(recent), known, [key, item], [pos], "_known")
+    pairs = hot_keys(queued, [key, item])
+    flagged = flag_known(listed.where(recent), known, [key, item], [pos], "_known", pairs)
     first = cap_per_key(flagged, [key], [pos], cap).withColumn("_again", _repeats(key, item, pos))
     stop = F.col("last_read").isNotNull() & (F.col("_known") | F.col("_again"))
     return _until_first(first, key, pos, stop).drop("_known", "_again")

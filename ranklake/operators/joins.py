@@ -50,16 +50,35 @@ def arrived(keys: DataFrame, state: DataFrame, key: str) -> DataFrame:
 
 
 def flag_known(
-    df: DataFrame, existing: DataFrame, on: list[str], spread: list[str], name: str = "known"
+    df: DataFrame,
+    existing: DataFrame,
+    on: list[str],
+    spread: list[str] | None,
+    name: str = "known",
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Add whether the row's key is among ``existing``."""
+    """Add whether the row's key is among ``existing``.
+
+    ``spread`` names columns that differ between rows of one key; None says that keys are unique in ``df``.
+    """
     seen = existing.select(*on).distinct().withColumn(name, F.lit(True))
-    return join_unique(df, seen, on, "left", spread).withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+    if spread is None:
+        joined = df.join(seen, on, "left").select(*df.columns, name)
+    else:
+        joined = join_unique(df, seen, on, "left", spread, hot)
+    return joined.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 
-def mark(df: DataFrame, done: DataFrame, key: str, values: dict, spread: list[str]) -> DataFrame:
+def mark(
+    df: DataFrame,
+    done: DataFrame,
+    key: str,
+    values: dict,
+    spread: list[str] | None,
+    hot: DataFrame | None = None,
+) -> DataFrame:
     """Set ``values`` on the rows whose key is in ``done``; leave the others."""
-    flagged = flag_known(df, done, [key], spread, "_done")
+    flagged = flag_known(df, done, [key], spread, "_done", hot)
     new = {
         name: F.when(F.col("_done"), v if isinstance(v, Column) else F.lit(v)).otherwise(F.col(name)).cast(
             df.schema[name].dataType

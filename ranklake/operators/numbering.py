@@ -1,68 +1,56 @@
 """Row numbers over data of any size, without one task seeing a whole group.
 
-The order is cut into buckets. Rows are counted per bucket, the counts are summed up
-to the start of each bucket, and each bucket numbers its own rows from there.
+The rows are range-partitioned by group and order, sorted, and written once to the shared
+folder: one file per range. A row's number is then the rows of the files before its own plus
+its place in the file, and both come from the files themselves. A large group simply spans
+many ranges.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ranklake.functions.text import key_text
+from ranklake.operators.skew import join_unique
 from ranklake.schemas import ROW_BYTES
+from ranklake.session import settle
 
-_NO_VALUE = "\u0000none"
 
-
-def numbered(
-    df: DataFrame,
-    order: list[str],
-    by: list[str] = (),
-    bucket: Column | None = None,
-    buckets: int = 4096,
-    name: str = "row_no",
-) -> DataFrame:
+def numbered(df: DataFrame, order: list[str], by: list[str] = (), name: str = "row_no") -> DataFrame:
     """Add the 0-based place of each row in ``order`` within ``by``.
 
-    ``bucket`` must not decrease along ``order``. Without it the first order column has to be
-    a number, and its range is cut into ``buckets`` equal spans.
+    Rows that are equal in all of ``order`` come in any order, but each gets its own number.
     """
-    if bucket is None:
-        span = df.agg(F.min(order[0]).cast("double").alias("lo"), F.max(order[0]).cast("double").alias("hi"))
-        low = span.select("lo").scalar()
-        width = span.select((F.col("hi") - F.col("lo") + 1) / buckets).scalar()
-        bucket = F.floor((F.col(order[0]).cast("double") - low) / width)
-    groups = [f"_group{i}" for i in range(len(by))]
-    tagged = df.withColumns(
-        {
-            **{g: F.coalesce(F.col(c).cast("string"), F.lit(_NO_VALUE)) for g, c in zip(groups, by)},
-            "_bucket": F.coalesce(bucket.cast("long"), F.lit(-(2**62))),
-        }
-    )
-    before = (
-        Window.partitionBy(*(groups or [F.lit(0)]))
-        .orderBy("_bucket")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    keys = [*by, *order]
+    ordered = settle(df.repartitionByRange(*keys).sortWithinPartitions(*keys), "ordered")
+    file = F.col("_metadata.file_path").alias("_file")
+    rows = ordered.select(*df.columns, file, F.col("_metadata.row_index").alias("_index"))
+    number = F.regexp_extract("_file", r"part-(\d+)", 1).cast("long")
+    before = Window.orderBy(number, "_file").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        tagged.groupBy(*groups, "_bucket")
+        ordered.select(file)
+        .groupBy("_file")
         .agg(F.count("*").alias("_rows"))
-        .withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-        .drop("_rows")
+        .select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     )
-    inside = Window.partitionBy(*groups, "_bucket").orderBy(*order)
-    return (
-        tagged.withColumn("_place", F.row_number().over(inside) - 1)
-        .join(starts, [*groups, "_bucket"])
-        .select(*df.columns, (F.col("_start") + F.col("_place")).alias(name))
+    placed = rows.join(starts, "_file").withColumn("_place", F.col("_start") + F.col("_index"))
+    if not by:
+        return placed.select(*df.columns, F.col("_place").alias(name))
+    groups = {f"_group{i}": key_text(c) for i, c in enumerate(by)}
+    placed = placed.withColumns(groups)
+    firsts = placed.groupBy(*groups).agg(F.min("_place").alias("_first"))
+    return join_unique(placed, firsts, list(groups), "inner", ["_place"]).select(
+        *df.columns, (F.col("_place") - F.col("_first")).alias(name)
     )
 
 
-def split_even(df: DataFrame, parts: int, order: list[str], bucket: Column | None = None) -> DataFrame:
+def split_even(df: DataFrame, parts: int, order: list[str]) -> DataFrame:
     """Add ``part``: runs of equal length in ``order``, the first ones taking the remainder."""
     if parts < 1:
         raise ValueError(f"parts must be at least 1, got {parts}")
-    total = df.agg(F.count("*")).scalar()
+    rows = numbered(df, order, name="_row")
+    total = rows.agg(F.count("*")).scalar()
     small = F.floor(total / parts).cast("long")
     extra = total - small * parts
     longer = extra * (small + 1)
@@ -70,7 +58,7 @@ def split_even(df: DataFrame, parts: int, order: list[str], bucket: Column | Non
     part = F.when(row < longer, F.floor(row / (small + 1))).otherwise(
         extra + F.floor((row - longer) / F.greatest(small, F.lit(1)))
     )
-    return numbered(df, order, bucket=bucket, name="_row").withColumn("part", part.cast("int")).drop("_row")
+    return rows.withColumn("part", part.cast("int")).drop("_row")
 
 
 def rows_per_file(threshold: int, row_bytes: float = ROW_BYTES) -> int:
@@ -87,12 +75,7 @@ def measured_row_bytes(df: DataFrame) -> float:
 
 
 def chunk_files(
-    df: DataFrame,
-    by: list[str],
-    order: list[str],
-    threshold: int,
-    row_bytes: float | str = ROW_BYTES,
-    bucket: Column | None = None,
+    df: DataFrame, by: list[str], order: list[str], threshold: int, row_bytes: float | str = ROW_BYTES
 ) -> DataFrame:
     """Add ``file_no``: the file within the partition ``by`` that each row falls into.
 
@@ -101,7 +84,5 @@ def chunk_files(
     size = measured_row_bytes(df) if row_bytes == "measured" else row_bytes
     limit = rows_per_file(threshold, size)
     return (
-        numbered(df, order, by, bucket, name="_row")
-        .withColumn("file_no", F.floor(F.col("_row") / limit))
-        .drop("_row")
+        numbered(df, order, by, name="_row").withColumn("file_no", F.floor(F.col("_row") / limit)).drop("_row")
     )

@@ -7,19 +7,32 @@ from pyspark.sql import functions as F
 
 from ranklake.operators.dedup import latest_by
 from ranklake.operators.joins import mark
-from ranklake.operators.skew import join_unique
+from ranklake.operators.skew import hot_keys, join_unique
 from ranklake.session import settle
 from ranklake.sinks.tables import overwrite_partitions
 
 
-def touched_partitions(listings: DataFrame, done: DataFrame, key: str, by: list[str], spread: list[str]) -> DataFrame:
+def touched_partitions(
+    listings: DataFrame,
+    done: DataFrame,
+    key: str,
+    by: list[str],
+    spread: list[str],
+    hot: DataFrame | None = None,
+) -> DataFrame:
     """Partitions with at least one listing of a done id, and how many."""
-    hits = join_unique(listings, done.select(key).distinct(), [key], "left_semi", spread)
+    hits = join_unique(listings, done.select(key).distinct(), [key], "left_semi", spread, hot)
     return hits.groupBy(*by).agg(F.count("*").alias("hits")).where("hits > 0")
 
 
 def flag_listings(
-    listings: DataFrame, done: DataFrame, key: str, spread: list[str], scope: str = "all", order: list[str] = ()
+    listings: DataFrame,
+    done: DataFrame,
+    key: str,
+    spread: list[str],
+    scope: str = "all",
+    order: list[str] = (),
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Set ``is_ingested`` to 1 on the listings of done ids.
 
@@ -27,7 +40,7 @@ def flag_listings(
     of its last listing in ``order``, whose first column names the source.
     """
     if scope == "all":
-        return mark(listings, done, key, {"is_ingested": 1}, spread)
+        return mark(listings, done, key, {"is_ingested": 1}, spread, hot)
     if scope != "last" or not order:
         raise ValueError("scope must be 'all', or 'last' with an order")
     source = order[0]
@@ -38,6 +51,25 @@ def flag_listings(
     return flagged.withColumn("is_ingested", new).drop("_last")
 
 
+def flag_touched(
+    listings: DataFrame,
+    done: DataFrame,
+    key: str,
+    by: list[str],
+    spread: list[str],
+    scope: str = "all",
+    order: list[str] = (),
+) -> DataFrame:
+    """All rows, flags set, of the partitions that hold a listing of a done id.
+
+    The first pass reads keys and partition columns only; the second reads the touched partitions.
+    """
+    hot = hot_keys(listings, [key])
+    touched = touched_partitions(listings, done, key, by, spread, hot)
+    affected = listings.join(touched.select(*by), by, "left_semi").select(*listings.columns)
+    return flag_listings(affected, done, key, spread, scope, order, hot)
+
+
 def propagate(
     listings: DataFrame,
     done: DataFrame,
@@ -53,8 +85,6 @@ def propagate(
     ``listings`` are the rows of that table (with source columns if ``order`` needs them).
     The new rows are complete in the shared folder before the first old file is replaced.
     """
-    touched = touched_partitions(listings, done, key, by, spread)
-    affected = listings.join(touched.select(*by), by, "left_semi").select(*listings.columns)
-    flagged = flag_listings(affected, done, key, spread, scope, order)
+    flagged = flag_touched(listings, done, key, by, spread, scope, order)
     keep = [c for c in flagged.columns if c not in ("source_file_path", "source_row")]
     overwrite_partitions(settle(flagged.select(*keep), "listings"), path, by)

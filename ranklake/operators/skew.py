@@ -2,27 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_TOP = 500
-_TRACKED = 10_000
+_SLOTS, _PER_SLOT, _TRACKED = 64, 32, 256
 
 
 def hot_keys(df: DataFrame, on: list[str], parts: int | None = None) -> DataFrame:
     """Hashes of the keys that overfill a shuffle partition, and the pieces to cut each into.
 
-    One pass over the key columns with a sketch of fixed size. A key with a third of the
-    rows gets a third of the partitions. At most 500 rows come out, so the result may be
-    broadcast. The sketch only decides how rows are spread, never which rows join.
+    One pass over the key columns, with one frequent-item sketch of fixed size per slot of the
+    hash: the sketches of all input splits are merged in 64 tasks, not in one. A key with a third
+    of the rows gets a third of the partitions. At most 64 x 32 rows come out, so the result may
+    be broadcast. The sketch only decides how rows are spread, never which rows join.
     """
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
+    slots = (
         df.select(F.xxhash64(*on).alias("_key_hash"))
+        .groupBy(F.pmod("_key_hash", F.lit(_SLOTS)).alias("_slot"))
         .agg(
-            F.count("*").alias("_rows"),
-            F.expr(f"approx_top_k(_key_hash, {_TOP}, {_TRACKED})").alias("_top"),
+            F.count("*").alias("_in_slot"),
+            F.expr(f"approx_top_k(_key_hash, {_PER_SLOT}, {_TRACKED})").alias("_top"),
         )
+    )
+    rows = F.sum("_in_slot").over(Window.partitionBy(F.lit(0)))  # over the 64 slot rows
+    return (
+        slots.select(rows.alias("_rows"), "_top")
         .select("_rows", F.inline("_top"))
         .select(
             F.col("item").alias("_key_hash"),
@@ -32,14 +37,24 @@ def hot_keys(df: DataFrame, on: list[str], parts: int | None = None) -> DataFram
     )
 
 
-def join_unique(left: DataFrame, right: DataFrame, on: list[str], how: str, spread: list[str]) -> DataFrame:
+def join_unique(
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    how: str,
+    spread: list[str],
+    hot: DataFrame | None = None,
+) -> DataFrame:
     """Equi-join with a ``right`` that has each key once, cutting hot keys of ``left`` into pieces.
 
     ``spread`` names columns of ``left`` that differ between the rows of one key; their hash
     picks the piece, so a repeated task picks the same one. Rows of ``right`` with a hot key
     are repeated once per piece: at most one extra row per shuffle partition in all.
+
+    Give ``hot`` (from ``hot_keys`` on the scan that ``left`` starts from, same key types) where
+    ``left`` is itself the result of joins, which would else run again for the sketch.
     """
-    hot = F.broadcast(hot_keys(left, on))
+    hot = F.broadcast(hot_keys(left, on) if hot is None else hot)
     for name in on:
         right = right.withColumn(name, F.col(name).cast(left.schema[name].dataType))
     extra = [c for c in right.columns if c not in on]

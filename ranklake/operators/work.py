@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from ranklake.operators.joins import mark
 from ranklake.operators.normalize import classify, is_done
@@ -23,7 +23,7 @@ def _task(fn: Callable[[dict], Reply], key: list[str], arrow_schema, attempts: i
 
         limited = False
         for batch in batches:
-            rows = []
+            rows, held = [], 0
             for item in batch.to_pylist():
                 name = {k: item[k] for k in key}
                 status, wait, records, tries, failure = None, None, [], 0, None
@@ -40,12 +40,13 @@ def _task(fn: Callable[[dict], Reply], key: list[str], arrow_schema, attempts: i
                     if status is not None and status not in (500, 502, 503, 504):
                         break
                 limited = limited or status == 429
-                kept = records if status is not None and status < 400 else []
-                rows.append({**name, "status": status, "retry_after": wait, "attempts": tries, "failure": failure})
-                rows.extend({**name, "record": record} for record in kept)
-                if len(rows) >= 1000:
+                name["status"], name["retry_after"], name["attempts"], name["failure"] = status, wait, tries, failure
+                name["records"] = records if status is not None and status < 400 else []
+                rows.append(name)
+                held += 1 + len(name["records"])
+                if held >= 5000:
                     yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
-                    rows = []
+                    rows, held = [], 0
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
 
@@ -81,7 +82,7 @@ def map_work(
             StructField("retry_after", StringType()),
             StructField("attempts", IntegerType()),
             StructField("failure", StringType()),
-            StructField("record", records),
+            StructField("records", ArrayType(records)),
         ]
     )
     spread = work.repartition(parts, *key) if parts else work.repartition(*key)
@@ -89,8 +90,8 @@ def map_work(
     task = _task(fn, list(key), to_arrow_schema(schema), attempts)
     spread.mapInArrow(task, schema).write.mode("overwrite").parquet(path)
     replies = spark.read.schema(schema).parquet(path)
-    found = replies.where("record IS NOT NULL").select(*key, "record.*")
-    outcomes = classify(replies.where("attempts IS NOT NULL").drop("record")).withColumn(
+    found = replies.select(*key, F.inline("records"))
+    outcomes = classify(replies.drop("records")).withColumn(
         "outcome",
         F.when(F.col("attempts") == 0, "pending")
         .when(F.col("failure").isNotNull(), "error")
@@ -99,6 +100,11 @@ def map_work(
     return found, outcomes
 
 
-def advance(state: DataFrame, outcomes: DataFrame, key: str, values: dict, spread: list[str]) -> DataFrame:
-    """Set ``values`` on the state rows whose item is done; all others stay as they are."""
+def advance(
+    state: DataFrame, outcomes: DataFrame, key: str, values: dict, spread: list[str] | None = None
+) -> DataFrame:
+    """Set ``values`` on the state rows whose item is done; all others stay as they are.
+
+    ``spread`` is needed where an item has many state rows.
+    """
     return mark(state, outcomes.where(is_done()), key, values, spread)

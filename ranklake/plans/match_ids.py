@@ -60,7 +60,7 @@ def run_ids(
     rows = assign_shard(conform(fresh, MATCH_IDS), "puuid", shards)
     append(rows.hint("rebalance", *FOLDERS).sortWithinPartitions(*FOLDERS, "puuid"), table, FOLDERS)
     waiting = due(state, as_of).select("puuid")
-    moved = advance(state, outcomes.join(waiting, "puuid", "left_semi"), "puuid", {"last_read": as_date(as_of)}, ["puuid"])
+    moved = advance(state, outcomes.join(waiting, "puuid", "left_semi"), "puuid", {"last_read": as_date(as_of)})
     write_state(conform(moved, PLAYER_STATE), state_root, run)
     return resume_plan(outcomes)
 

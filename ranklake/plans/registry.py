@@ -9,9 +9,9 @@ from pyspark.sql.types import StructType
 from ranklake.functions.dates import as_timestamp
 from ranklake.operators.joins import new_files
 from ranklake.schemas import FILE_LEDGER
-from ranklake.session import path_exists, settle
+from ranklake.session import path_exists
 from ranklake.sinks.tables import append, conform
-from ranklake.sources.files import file_stats
+from ranklake.sources.files import file_stats, list_files
 from ranklake.sources.parquet import scan_table
 
 
@@ -52,12 +52,18 @@ def ledger_rows(ledger: DataFrame, files: DataFrame, table: str, registered_at)
     )
 
 
-def register(spark: SparkSession, ledger_path: str, table: str, files: DataFrame, registered_at) -> int:
-    """Register new files; return the snapshot they belong to, or the current one if none is new."""
-    rows = conform(ledger_rows(read_ledger(spark, ledger_path), files, table, registered_at), FILE_LEDGER)
-    added = settle(rows, "ledger")
-    if not added.isEmpty():
-        append(added, ledger_path)
+def register(spark: SparkSession, ledger_path: str, table: str, path: str, registered_at) -> int:
+    """Register the new files under ``path``; return their snapshot, or the current one if none is new.
+
+    Files are compared by listing first. Only files as young as the oldest new one are opened to
+    count their rows, so a daily run does not touch what it registered before.
+    """
+    ledger = read_ledger(spark, ledger_path)
+    own = ledger.where(F.col("table_name") == table)
+    oldest = new_files(list_files(spark, path), own).agg(F.min("modified_at")).first()[0]
+    if oldest is not None:
+        files = file_stats(spark, path, since=oldest)
+        append(conform(ledger_rows(ledger, files, table, registered_at), FILE_LEDGER), ledger_path)
     return current_snapshot(read_ledger(spark, ledger_path), table)
 
 
@@ -72,7 +78,7 @@ def sync(spark: SparkSession, ledger_path: str, tables: list[tuple], registered_
         before = current_snapshot(read_ledger(spark, ledger_path), name)
         snapshot = before
         if path_exists(spark, path):
-            snapshot = register(spark, ledger_path, name, file_stats(spark, path), registered_at)
+            snapshot = register(spark, ledger_path, name, path, registered_at)
             refresh_table(spark, name, by)
         out.append((name, snapshot, snapshot > before))
     runs = spark.createDataFrame(out, "table_name string, snapshot_id long, changed boolean")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ranklake.schemas import ROWS_PER_GROUP
 from ranklake.session import delete_path, match_paths
 from ranklake.sources.parquet import scan_table
 
@@ -35,10 +34,14 @@ def write_partitioned(
     path: str,
     by: list[str],
     rows_per_file: int = 0,
-    rows_per_group: int | None = ROWS_PER_GROUP,
+    rows_per_group: int | None = None,
     mode: str = "append",
 ) -> None:
-    """Write one folder per value of ``by``, with few files per folder and bounded rows per file."""
+    """Write one folder per value of ``by``, with few files per folder and bounded rows per file.
+
+    ``rows_per_group`` limits the rows of a row group, for readers that hold a group in memory.
+    Left out, groups grow to Spark's default size, which scans faster.
+    """
     writer = _grouped(df, by).write.mode(mode).option("maxRecordsPerFile", rows_per_file)
     if rows_per_group:
         writer = writer.option("parquet.block.row.count.limit", rows_per_group)

@@ -2,30 +2,41 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def list_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
-    """Files under ``path`` with size and time. No file is opened: the content column is pruned."""
+_ALL = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
+
+
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet files under ``path`` with size and time. No file is opened: the content is not selected."""
     return (
         spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
+        .options(**_ALL)
         .load(path)
         .select(
-            F.col("path").alias("file_path"),
-            F.col("length").alias("bytes"),
-            F.col("modificationTime").alias("modified_at"),
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_size").alias("bytes"),
+            F.col("_metadata.file_modification_time").alias("modified_at"),
         )
     )
 
 
-def file_stats(spark: SparkSession, path: str) -> DataFrame:
-    """Rows and bytes per Parquet file. Reads no column, so the row counts come from the footers."""
-    found = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path)
+def file_stats(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
+    """Rows and bytes per Parquet file, of the files written at ``since`` or later if given.
+
+    Reads no column, so the row counts come from the footers; older files are not opened at all.
+    """
+    reader = spark.read.options(**_ALL)
+    if since is not None:
+        just_before = since.astimezone(UTC) - timedelta(milliseconds=1)
+        reader = reader.option("modifiedAfter", f"{just_before:%Y-%m-%dT%H:%M:%S.%f}").option("timeZone", "UTC")
     return (
-        found.select("_metadata.file_path", "_metadata.file_size")
+        reader.parquet(path)
+        .select("_metadata.file_path", "_metadata.file_size")
         .groupBy("file_path")
         .agg(F.count("*").alias("record_count"), F.max("file_size").alias("bytes"))
     )

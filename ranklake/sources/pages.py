@@ -5,23 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ranklake.functions.text import key_text
 from ranklake.operators.normalize import classify, outcome
 from ranklake.operators.skew import join_unique
 
-_NO_VALUE = "\u0000none"
-
-
-def _keyed(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
-    names = [f"_key{i}" for i in range(len(keys))]
-    text = {n: F.coalesce(F.col(k).cast("string"), F.lit(_NO_VALUE)) for n, k in zip(names, keys)}
-    return df.withColumns(text), names
-
 
 def pages_before_stop(pages: DataFrame, keys: list[str], page: str, stop: Column) -> DataFrame:
     """Per key, the pages before the first one for which ``stop`` holds."""
-    keyed, names = _keyed(pages.withColumn("_stop", stop), keys)
-    ends = keyed.where("_stop").groupBy(*names).agg(F.min(page).alias("_end"))
-    joined = join_unique(keyed, ends, names, "left", [page])
+    names = {f"_key{i}": key_text(k) for i, k in enumerate(keys)}
+    keyed = pages.withColumns(names)
+    ends = keyed.where(stop).groupBy(*names).agg(F.min(page).alias("_end"))
+    joined = join_unique(keyed, ends, list(names), "left", [page])
     return joined.where(F.col("_end").isNull() | (F.col(page) < F.col("_end"))).select(*pages.columns)
 
 

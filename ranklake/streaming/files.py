@@ -49,7 +49,12 @@ def append_unseen(table: str, schema: StructType, keys: list[str], by: list[str]
 
 
 def mark_state(
-    root: str, schema: StructType, key: str, values: dict, spread: list[str], by: list[str] = ("shard_id",)
+    root: str,
+    schema: StructType,
+    key: str,
+    values: dict,
+    spread: list[str] | None = None,
+    by: list[str] = ("shard_id",),
 ) -> Callable:
     """Batch step: set ``values`` on the state rows whose key arrives, as a new run of the state table.
 

@@ -110,9 +110,7 @@ def mark_done(spark, sf_dir):
 )
 def propagate_all(spark, sf_dir):
     rows, done = I.listings(spark, sf_dir), I.done_matches(spark, sf_dir)
-    touched = propagate.touched_partitions(rows, done, "match_id", ["source_file_path"], I.SPREAD)
-    affected = rows.join(touched.select("source_file_path"), "source_file_path", "left_semi").select(*rows.columns)
-    return propagate.flag_listings(affected, done, "match_id", I.SPREAD)
+    return propagate.flag_touched(rows, done, "match_id", ["source_file_path"], I.SPREAD)
 
 
 @query(
@@ -165,7 +163,7 @@ def advance_state(spark, sf_dir):
     failed = F.bool_or(F.col("outcome").isin("error", "transient")) & (F.count("*") >= 60)
     outcomes = judged.groupBy("puuid").agg(F.when(failed, "error").otherwise("ok").alias("outcome"))
     state = I.player_state(spark, sf_dir)
-    return work.advance(state, outcomes, "puuid", {"last_read": F.lit(I.AS_OF).cast("date")}, ["puuid"])
+    return work.advance(state, outcomes, "puuid", {"last_read": F.lit(I.AS_OF).cast("date")})
 
 
 @query(f"SELECT s AS shard_id, count(puuid) AS rows FROM (SELECT CAST(range AS INTEGER) AS s FROM range(64)) LEFT JOIN (SELECT puuid, {I.sql_shard('puuid', 64)} AS shard_id FROM ({I.PLAYER_STATE})) ON s = shard_id GROUP BY s")

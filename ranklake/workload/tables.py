@@ -13,6 +13,7 @@ from ranklake.functions import hashing
 from ranklake.operators import numbering, summary
 from ranklake.operators.normalize import classify
 from ranklake.plans import registry
+from ranklake.schemas import FLUSH_BYTES, ROWS_PER_GROUP
 from ranklake.session import scratch_path
 from ranklake.sinks import resume, staging, tables
 from ranklake.sources import files, pages, parquet
@@ -119,19 +120,20 @@ def overwrite_one_shard(spark, sf_dir):
 
 @query(
     """SELECT l_returnflag, l_linestatus, CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS rows,
-        ceil(count(*) / 2000.0) <= count(*) AS split FROM lineitem GROUP BY ALL"""
+        true AS within_limit FROM lineitem GROUP BY ALL"""
 )
 def write_partitioned(spark, sf_dir):
-    """No file mixes partitions, and none holds more than 2000 rows."""
+    """No file mixes partitions, and none holds more rows than fit the ladder threshold."""
     path = scratch_path(spark, "partitioned")
     rows = I.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_returnflag", "l_linestatus", F.year("l_shipdate").alias("year")
     )
     by = ["l_returnflag", "l_linestatus", "year"]
-    tables.write_partitioned(rows, path, by, rows_per_file=2000)
+    limit = numbering.rows_per_file(FLUSH_BYTES["ladder"])
+    tables.write_partitioned(rows, path, by, limit)
     stored = parquet.scan_table(spark, path, rows.schema)
     per_file = stored.groupBy(*by, F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"))
-    return per_file.groupBy(*by).agg(F.sum("n").alias("rows"), (F.max("n") <= 2000).alias("split"))
+    return per_file.groupBy(*by).agg(F.sum("n").alias("rows"), (F.max("n") <= limit).alias("within_limit"))
 
 
 @query(
@@ -141,7 +143,7 @@ def row_groups(spark, sf_dir):
     """Rows written in row groups of 1000 read back whole."""
     path = scratch_path(spark, "row-groups")
     rows = I.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_quantity")
-    tables.write_partitioned(rows, path, ["l_returnflag"], rows_per_group=1000)
+    tables.write_partitioned(rows, path, ["l_returnflag"], rows_per_group=ROWS_PER_GROUP)
     stored = parquet.scan_table(spark, path, rows.schema)
     return stored.groupBy("l_returnflag").agg(F.count("*").alias("rows"), F.sum("l_quantity").alias("quantity"))
 
@@ -216,7 +218,7 @@ def register_files(spark, sf_dir):
     ledger = scratch_path(spark, "ledger")
     for part in ("lang = 'en'", "lang <> 'en'"):
         tables.append(docs.where(part), path, ["lang"])
-        registry.register(spark, ledger, "documents", files.file_stats(spark, path), I.STAMP)
+        registry.register(spark, ledger, "documents", path, I.STAMP)
     rows = registry.read_ledger(spark, ledger)
     return rows.groupBy("snapshot_id").agg(F.sum("record_count").alias("record_count"))
 
@@ -299,7 +301,7 @@ def stream_state(spark, sf_dir):
         .select(F.col("user_id").cast("string").alias("puuid"))
     )
     values = {"last_read": F.lit(I.AS_OF).cast("date")}
-    step = streams.mark_state(f"{base}/state", state.schema, "puuid", values, ["puuid"])
+    step = streams.mark_state(f"{base}/state", state.schema, "puuid", values)
     streams.run_to_end(done, step, f"{base}/checkpoint")
     return tables.newest_state(spark, f"{base}/state", state.schema).select("puuid", "last_read")
 
