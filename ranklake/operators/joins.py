@@ -61,11 +61,11 @@ def flag_known(
 
     ``spread`` names columns that differ between rows of one key; None says that keys are unique in ``df``.
     """
-    seen = existing.select(*on).distinct().withColumn(name, F.lit(True))
+    seen = existing.select(*on, F.lit(True).alias(name))
     if spread is None:
-        joined = df.join(seen, on, "left").select(*df.columns, name)
+        joined = df.join(seen.distinct(), on, "left").select(*df.columns, name)
     else:
-        joined = join_unique(df, seen, on, "left", spread, hot)
+        joined = join_unique(df, seen, on, "left", spread, hot, dedup=True)
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 
@@ -104,8 +104,10 @@ def new_files(listed: DataFrame, ledger: DataFrame, path: str = "file_path") ->
 
 
 def remaining(work: DataFrame, outcomes: DataFrame, key: list[str]) -> DataFrame:
-    """Work items without a done outcome."""
-    return work.join(outcomes.where(is_done()).select(*key), key, "left_anti")
+    """Work items without a done outcome. NULL in a key counts as a value."""
+    done = outcomes.where(is_done()).select(*[F.col(k).alias(f"_done_{k}") for k in key])
+    same = [F.col(k).eqNullSafe(F.col(f"_done_{k}")) for k in key]
+    return work.join(done, same, "left_anti")
 
 
 def resume_work(work: DataFrame, saved: DataFrame, key: list[str]) -> DataFrame:

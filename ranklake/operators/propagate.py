@@ -21,7 +21,7 @@ def touched_partitions(
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """Partitions with at least one listing of a done id, and how many."""
-    hits = join_unique(listings, done.select(key).distinct(), [key], "left_semi", spread, hot)
+    hits = join_unique(listings, done.select(key), [key], "left_semi", spread, hot, dedup=True)
     return hits.groupBy(*by).agg(F.count("*").alias("hits")).where("hits > 0")
 
 
@@ -62,11 +62,13 @@ def flag_touched(
 ) -> DataFrame:
     """All rows, flags set, of the partitions that hold a listing of a done id.
 
-    The first pass reads keys and partition columns only; the second reads the touched partitions.
+    The first pass reads keys and partition columns only. Its result, one row per partition, is
+    written down, so that Spark knows its size when it plans the second pass: it is broadcast if
+    small enough, and then prunes the folders that are read.
     """
     hot = hot_keys(listings, [key])
-    touched = touched_partitions(listings, done, key, by, spread, hot)
-    affected = listings.join(touched.select(*by), by, "left_semi").select(*listings.columns)
+    touched = settle(touched_partitions(listings, done, key, by, spread, hot), "touched")
+    affected = listings.join(touched.where("hits > 0").select(*by), by, "left_semi").select(*listings.columns)
     return flag_listings(affected, done, key, spread, scope, order, hot)
 
 

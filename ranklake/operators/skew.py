@@ -44,6 +44,7 @@ def join_unique(
     how: str,
     spread: list[str],
     hot: DataFrame | None = None,
+    dedup: bool = False,
 ) -> DataFrame:
     """Equi-join with a ``right`` that has each key once, cutting hot keys of ``left`` into pieces.
 
@@ -51,6 +52,7 @@ def join_unique(
     picks the piece, so a repeated task picks the same one. Rows of ``right`` with a hot key
     are repeated once per piece: at most one extra row per shuffle partition in all.
 
+    With ``dedup``, ``right`` may repeat its rows; they are made distinct in the shuffle of the join.
     Give ``hot`` (from ``hot_keys`` on the scan that ``left`` starts from, same key types) where
     ``left`` is itself the result of joins, which would else run again for the sketch.
     """
@@ -67,6 +69,8 @@ def join_unique(
         .withColumn("_piece", F.explode(pieces))
         .select(*on, "_piece", *extra)
     )
+    if dedup:
+        repeated = repeated.distinct()
     joined = cut.select(*left.columns, "_piece").join(repeated, [*on, "_piece"], how)
     kept = left.columns if how in ("left_semi", "left_anti") else [*left.columns, *extra]
     return joined.select(*kept)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ranklake.operators.joins import lookup
+from ranklake.operators.grid import work_grid
+from ranklake.operators.joins import lookup, remaining
 from ranklake.operators.normalize import normalize_entries, outcome
 from ranklake.operators.numbering import rows_per_file
 from ranklake.schemas import FLUSH_BYTES, LADDER
@@ -34,6 +35,13 @@ def ladder_outcomes(pages: DataFrame, apex: DataFrame) -> DataFrame:
     return key_outcomes(pages.select(*columns).unionByName(apex.withColumn("page", F.lit(1)).select(*columns)), CELL)
 
 
+def ladder_work(platforms: DataFrame, outcomes: DataFrame | None = None) -> DataFrame:
+    """Work items of a run, each with one text that names it; only the unfinished ones if outcomes are given."""
+    grid = work_grid(platforms.select(F.col("id").alias("platform"), "region"))
+    left = grid if outcomes is None else remaining(grid, outcomes, CELL)
+    return left.withColumn("item", F.concat_ws("/", "platform", "tier", F.coalesce("division", F.lit("all"))))
+
+
 def collect_ladder(
     pages: DataFrame, apex: DataFrame, platforms: DataFrame, out: str, ingested_at
 ) -> DataFrame:

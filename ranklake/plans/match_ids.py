@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -13,7 +15,7 @@ from ranklake.operators.increment import increment
 from ranklake.operators.joins import remaining
 from ranklake.operators.normalize import id_records
 from ranklake.operators.summary import resume_plan
-from ranklake.operators.work import advance
+from ranklake.operators.work import advance, map_work
 from ranklake.schemas import IDS_PER_PLAYER, MATCH_IDS, PLAYER_STATE, SHARDS
 from ranklake.sinks.tables import append, conform, newest_state, write_state
 from ranklake.sources.parquet import last_shard_wins, scan_table
@@ -22,6 +24,19 @@ FOLDERS = ["region", "platform", "shard_id"]
 STORED = StructType([*MATCH_IDS.fields]).add("shard_id", "integer")
 
 
+LISTED = StructType().add("pos", "long").add("match_id", "string").add("queue", "integer").add(
+    "game_start_timestamp", "long"
+)
+
+
+def fetch_ids(state: DataFrame, fn: Callable, as_of, parts: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Id lists and outcomes from a function that gets a due player and returns status, retry-after and ids.
+
+    Each id is a dict with the columns of ``LISTED``.
+    """
+    return map_work(due(state, as_of), fn, LISTED, ["puuid"], parts)
+
+
 def new_ids(
     state: DataFrame, ids: DataFrame, known: DataFrame, outcomes: DataFrame, as_of, ingested_at, cap: int = IDS_PER_PLAYER
 ) -> DataFrame:

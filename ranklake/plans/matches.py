@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ranklake.functions.dates import with_partition_date
 from ranklake.functions.hashing import assign_shard
@@ -12,7 +15,7 @@ from ranklake.operators.normalize import classify, is_done, normalize_match
 from ranklake.operators.numbering import rows_per_file
 from ranklake.operators.propagate import propagate
 from ranklake.operators.summary import resume_plan, shard_counts
-from ranklake.operators.work import advance
+from ranklake.operators.work import advance, map_work
 from ranklake.plans.match_ids import FOLDERS as LISTING_FOLDERS
 from ranklake.plans.match_ids import STORED
 from ranklake.schemas import FLUSH_BYTES, MATCH_REPLIES, MATCH_STATE, MATCHES, SHARDS
@@ -41,6 +44,18 @@ def match_work(state: DataFrame) -> DataFrame:
     return pending(state).groupBy("match_id").agg(place).select("match_id", "_place.region", "_place.platform")
 
 
+def fetch_replies(work: DataFrame, fn: Callable, parts: int | None = None) -> DataFrame:
+    """Replies from a function that gets a work item and returns status, retry-after and ``[{"body": text}]``.
+
+    Items that a rate-limited part left untouched have no reply and stay pending.
+    """
+    bodies, outcomes = map_work(work, fn, StructType().add("body", "string"), ["match_id"], parts)
+    tried = outcomes.where("attempts > 0").withColumn(
+        "status", F.when(F.col("failure").isNotNull(), 400).otherwise(F.col("status"))
+    )
+    return conform(tried.join(bodies, "match_id", "left"), MATCH_REPLIES)
+
+
 def judge_replies(work: DataFrame, replies: DataFrame) -> DataFrame:
     """Work items with their reply and its outcome. A reply that is no JSON is an error."""
     judged = classify(work.join(replies.select("match_id", "status", "retry_after", "body"), "match_id"))
@@ -69,4 +84,5 @@ def run_matches(
     listings = scan_table(spark, listings_table, STORED)
     propagate(listings, done, listings_table, "match_id", LISTING_FOLDERS, ["puuid"])
     write_state(conform(moved, MATCH_STATE), state_root, run)
-    return resume_plan(judged)
+    plan = resume_plan(judged)
+    return spark.createDataFrame([plan.first()], plan.schema)

@@ -24,23 +24,34 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, or set on the context.
 
-    Only a local session may go without it: it then gets a folder of its own.
+    Only a local session may go without one: it then gets a folder of its own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="ranklake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="ranklake-"))
+    return context.getCheckpointDir()
+
+
+_used: list[str] = []
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _used.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this process wrote to the shared folder, once no frame reads it any more."""
+    while _used:
+        delete_path(spark, _used.pop())
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

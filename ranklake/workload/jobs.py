@@ -8,7 +8,8 @@ from pyspark.sql.types import LongType, StringType, StructType
 from ranklake.functions import hashing
 from ranklake.functions.dates import as_timestamp
 from ranklake.operators import work
-from ranklake.plans import ladder, match_ids, matches, players
+from ranklake.operators.normalize import classify, is_done
+from ranklake.plans import ladder, match_ids, matches, players, suspend
 from ranklake.schemas import LADDER, MATCH_STATE, MATCHES, PLAYER_STATE
 from ranklake.session import scratch_path
 from ranklake.sinks import tables
@@ -73,6 +74,21 @@ def ladder_outcomes(spark, sf_dir):
     return found.select("platform", "tier", "division", "outcome")
 
 
+@query(
+    f"""SELECT CAST(item AS VARCHAR) AS item, puuid, CASE WHEN {I.SQL_OUTCOME} IN ('ok', 'not_found') THEN 'first run'
+          ELSE 'second run' END AS found_by FROM ({I.REPLIES})"""
+)
+def suspend_resume(spark, sf_dir):
+    """A rate-limited run put aside and taken up: both runs together find every item once."""
+    root = scratch_path(spark, "suspended")
+    replies = I.replies(spark, sf_dir).withColumn("item", F.col("item").cast("string"))
+    items, judged = replies.select("item", "puuid"), classify(replies)
+    output = judged.where(is_done()).select("item", "puuid", F.lit("first run").alias("found_by"))
+    suspend.put_aside(items, judged, output, root, "b", "job-1", I.STAMP, "item", ["item"])
+    rest = suspend.take_up(items, root, "b", "job-1", "item")
+    return suspend.with_earlier_output(rest.withColumn("found_by", F.lit("second run")), root, "b", "job-1")
+
+
 _PLAN = f"""WITH b AS (SELECT puuid, region, platform FROM ({I.LADDER_ROWS})
           QUALIFY row_number() OVER (PARTITION BY puuid ORDER BY {I.SQL_RANK}, tie) = 1)
         SELECT b.puuid, region, platform, last_read, {I.sql_shard("b.puuid")} AS shard_id

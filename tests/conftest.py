@@ -5,14 +5,15 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from ranklake.session import local_session  # noqa: E402
+from ranklake.session import drop_scratch, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(4, shuffle_partitions=4, memory="4g")
     session.sparkContext.setLogLevel("ERROR")
-    return session
+    yield session
+    drop_scratch(session)
 
 
 @pytest.fixture
