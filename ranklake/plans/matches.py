@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from ranklake.functions.dates import with_partition_date
 from ranklake.functions.hashing import assign_shard
+from ranklake.operators.dedup import best_per_key
 from ranklake.operators.filters import pending, valid_key
 from ranklake.operators.normalize import classify, is_done, normalize_match
 from ranklake.operators.numbering import rows_per_file
@@ -57,8 +58,12 @@ def fetch_replies(work: DataFrame, fn: Callable, parts: int | None = None) -> Da
 
 
 def judge_replies(work: DataFrame, replies: DataFrame) -> DataFrame:
-    """Work items with their reply and its outcome. A reply that is no JSON is an error."""
-    judged = classify(work.join(replies.select("match_id", "status", "retry_after", "body"), "match_id"))
+    """Work items with their reply and its outcome. A reply that is no JSON is an error.
+
+    Of several replies to one item, the one with the lowest status counts.
+    """
+    one = best_per_key(replies, ["match_id"], [F.asc_nulls_last("status"), "body"])
+    judged = classify(work.join(one.select("match_id", "status", "retry_after", "body"), "match_id"))
     broken = (F.col("outcome") == "ok") & F.try_parse_json("body").isNull()
     return judged.withColumn("outcome", F.when(broken, "error").otherwise(F.col("outcome")))
 

@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ranklake.functions.text import key_text
 from ranklake.operators.normalize import classify, outcome
 from ranklake.operators.skew import join_unique
 
 
+def read_landed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Landed JSON, one object per line; no rows if nothing has landed. A line that is no JSON is an error."""
+    try:
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
+
+
 def pages_before_stop(pages: DataFrame, keys: list[str], page: str, stop: Column) -> DataFrame:
     """Per key, the pages before the first one for which ``stop`` holds."""
     names = {f"_key{i}": key_text(k) for i, k in enumerate(keys)}

@@ -11,9 +11,9 @@ from pyspark.sql.types import StructField, StructType
 
 from ranklake.functions import hashing
 from ranklake.operators import numbering, summary
-from ranklake.operators.normalize import classify
+from ranklake.operators.normalize import classify, normalize_entries
 from ranklake.plans import registry
-from ranklake.schemas import FLUSH_BYTES, ROWS_PER_GROUP
+from ranklake.schemas import FLUSH_BYTES, LADDER_PAGES, ROWS_PER_GROUP
 from ranklake.session import scratch_path
 from ranklake.sinks import resume, staging, tables
 from ranklake.sources import files, pages, parquet
@@ -73,6 +73,22 @@ def ladder_pages(spark, sf_dir):
     return rows.select("platform", "tier", "division", "page", F.col("entry.puuid").alias("c_name"))
 
 
+@query(
+    f"""WITH e AS (SELECT platform, tier, division, min(page) AS last FROM ({I.PAGES})
+          WHERE highest < 0 OR lowest < -900 GROUP BY ALL)
+        SELECT {I.SQL_ENTRY_COLUMNS}, p.platform, upper(p.tier) AS tier, p.division FROM ({I.PAGE_ENTRIES}) p
+        LEFT JOIN e ON e.platform = p.platform AND e.tier = p.tier AND e.division = p.division
+        WHERE c_acctbal >= 0 AND (last IS NULL OR page < last)"""
+)
+def landed_pages(spark, sf_dir):
+    """Pages landed as JSON lines, in which absent fields are left out, read back and normalised."""
+    path = scratch_path(spark, "landed")
+    I.ladder_pages(spark, sf_dir).write.json(path)
+    landed = pages.read_landed(spark, path, LADDER_PAGES)
+    rows = pages.pages_until_empty(landed, ["platform", "tier", "division"], status="status")
+    return normalize_entries(rows.withColumn("region", F.lit("")), I.STAMP).drop("region", "_ingested_at")
+
+
 @query(
     """WITH e AS (SELECT conv_id, min(turn) AS last FROM conversations WHERE role = 'assistant' GROUP BY 1)
         SELECT c.conv_id, turn, word FROM (SELECT conv_id, turn, unnest(string_split(text, ' ')) AS word FROM conversations) c

@@ -206,3 +206,28 @@ def test_a_repeated_batch_changes_nothing(spark, rows):
     for _ in range(2):
         step(spark.createDataFrame([("a",)], "k string"), 0)
     assert rows(tables.newest_state(spark, base, schema), "k", "done") == [("a", 1), ("b", 0)]
+
+
+def test_landed_json(spark, rows, tmp_path):
+    from ranklake.schemas import LADDER_PAGES
+
+    assert pages.read_landed(spark, str(tmp_path / "none"), LADDER_PAGES).isEmpty()
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.json").write_text('{"platform": "kr", "page": 1, "entries": [{"puuid": "p", "wins": 3}]}\n')
+    got = pages.explode_entries(pages.read_landed(spark, str(folder), LADDER_PAGES))
+    assert rows(got, "platform", "tier", "entry.puuid", "entry.wins", "entry.losses") == [("kr", None, "p", 3, None)]
+    (folder / "b.json").write_text("{broken\n")
+    with pytest.raises(Exception):
+        pages.read_landed(spark, str(folder), LADDER_PAGES).collect()
+
+
+def test_bare_value_layout_is_read_back_into_columns(spark, rows):
+    from ranklake.functions.layout import with_path_columns
+
+    base = scratch_path(spark, "bare")
+    df = spark.createDataFrame([("a", 0)], IDS)
+    df.coalesce(1).write.parquet(f"{base}/league/asia/kr/gold/all")
+    found = parquet.scan_with_source(spark, f"{base}/league", df.schema)
+    got = with_path_columns(found, ["region", "platform", "tier", "division"])
+    assert rows(got, "match_id", "region", "platform", "tier", "division") == [("a", "asia", "kr", "gold", "all")]

@@ -78,6 +78,15 @@ def test_fetch_ids_and_replies(spark, rows):
     assert rows(judged, "match_id", "outcome") == [("m1", "ok"), ("m2", "not_found"), ("m3", "error")]
 
 
+def test_one_reply_per_match_counts(spark, rows):
+    work = spark.createDataFrame([("m1", "r", "k")], "match_id string, region string, platform string")
+    replies = spark.createDataFrame(
+        [("m1", 429, "3", None), ("m1", 200, None, "{}"), ("m1", 200, None, "{}"), ("m1", None, None, None)],
+        "match_id string, status int, retry_after string, body string",
+    )
+    assert rows(matches.judge_replies(work, replies), "match_id", "outcome") == [("m1", "ok")]
+
+
 def test_shared_folder_is_required_on_a_cluster():
     class Context:
         master = "yarn"
