@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from ranklake.functions.dates import as_date
 from ranklake.functions.hashing import assign_shard
-from ranklake.operators.filters import due
+from ranklake.operators.filters import due, is_due
 from ranklake.operators.increment import increment
 from ranklake.operators.joins import remaining
 from ranklake.operators.normalize import id_records
@@ -18,7 +18,7 @@ from ranklake.operators.summary import resume_plan
 from ranklake.operators.work import advance, map_work
 from ranklake.schemas import IDS_PER_PLAYER, MATCH_IDS, PLAYER_STATE, SHARDS
 from ranklake.sinks.tables import append, conform, newest_state, write_state
-from ranklake.sources.parquet import last_shard_wins, scan_table
+from ranklake.sources.parquet import scan_table
 
 FOLDERS = ["region", "platform", "shard_id"]
 STORED = StructType([*MATCH_IDS.fields]).add("shard_id", "integer")
@@ -68,14 +68,14 @@ def run_ids(
     Rows are appended before the state moves on. If the run stops in between, running it again
     appends nothing twice: rows that are stored already are left out.
     """
-    state = last_shard_wins(newest_state(spark, state_root, PLAYER_STATE, run), "puuid")
+    state = newest_state(spark, state_root, PLAYER_STATE, run)
     stored = scan_table(spark, table, STORED).select("puuid", "match_id")
     fresh = new_ids(state, ids, stored, outcomes, as_of, ingested_at, cap)
     fresh = fresh.join(stored.distinct(), ["puuid", "match_id"], "left_anti").select(*fresh.columns)
     rows = assign_shard(conform(fresh, MATCH_IDS), "puuid", shards)
     append(rows.hint("rebalance", *FOLDERS).sortWithinPartitions(*FOLDERS, "puuid"), table, FOLDERS)
-    waiting = due(state, as_of).select("puuid")
-    moved = advance(state, outcomes.join(waiting, "puuid", "left_semi"), "puuid", {"last_read": as_date(as_of)})
+    read_now = F.when(is_due(as_of), as_date(as_of)).otherwise(F.col("last_read"))
+    moved = advance(state, outcomes, "puuid", {"last_read": read_now})
     write_state(conform(moved, PLAYER_STATE), state_root, run)
     return resume_plan(outcomes)
 

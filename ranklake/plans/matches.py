@@ -75,9 +75,21 @@ def match_rows(judged: DataFrame, ingested_at) -> DataFrame:
 
 
 def run_matches(
-    spark: SparkSession, state_root: str, replies: DataFrame, table: str, listings_table: str, run: str, ingested_at
+    spark: SparkSession,
+    state_root: str,
+    replies: DataFrame,
+    table: str,
+    listings_table: str,
+    run: str,
+    ingested_at,
+    scope: str = "all",
 ) -> DataFrame:
-    """Append match rows, flag state and listings, and return the resume plan."""
+    """Append match rows, flag state and listings, and return the resume plan.
+
+    ``scope`` is ``all`` to flag every listing of a finished match, or ``last`` to flag only
+    those in the file that lists it last. If the run stops in between, running it again adds
+    no match twice: the ids that are stored already are left out.
+    """
     state = newest_state(spark, state_root, MATCH_STATE, run)
     judged = settle(judge_replies(match_work(state), conform(replies, MATCH_REPLIES)), "match-replies")
     rows = match_rows(judged, ingested_at)
@@ -86,8 +98,12 @@ def run_matches(
     write_partitioned(rows, table, FOLDERS, rows_per_file(FLUSH_BYTES["matches"]))
     moved = advance(state, judged, "match_id", {"is_ingested": 1}, ["puuid", "source_file_path"])
     done = judged.where(is_done()).select("match_id")
-    listings = scan_table(spark, listings_table, STORED)
-    propagate(listings, done, listings_table, "match_id", LISTING_FOLDERS, ["puuid"])
+    order = ["source_file_path", "source_row"] if scope == "last" else []
+    if scope == "last":
+        listings = scan_with_source(spark, listings_table, STORED, partitioned=True)
+    else:
+        listings = scan_table(spark, listings_table, STORED)
+    propagate(listings, done, listings_table, "match_id", LISTING_FOLDERS, ["puuid"], scope, order)
     write_state(conform(moved, MATCH_STATE), state_root, run)
     plan = resume_plan(judged)
     return spark.createDataFrame([plan.first()], plan.schema)

@@ -12,10 +12,14 @@ from ranklake.operators.normalize import classify, outcome
 from ranklake.operators.skew import join_unique
 
 
-def read_landed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Landed JSON, one object per line; no rows if nothing has landed. A line that is no JSON is an error."""
+def read_landed(spark: SparkSession, path: str, schema: StructType, tolerant: bool = False) -> DataFrame:
+    """Landed JSON, one object per line; no rows if nothing has landed.
+
+    A line that does not fit is an error, or left out if ``tolerant``.
+    """
     try:
-        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+        mode = "DROPMALFORMED" if tolerant else "FAILFAST"
+        return spark.read.schema(schema).option("mode", mode).json(path)
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)

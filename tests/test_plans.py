@@ -12,6 +12,7 @@ from ranklake.schemas import (
     LADDER,
     LADDER_PAGES,
     MATCH_IDS,
+    MATCH_REPLIES,
     MATCH_STATE,
     MATCHES,
     PLAYER_STATE,
@@ -164,6 +165,20 @@ def test_match_jobs_from_ids_to_details(spark, lake, rows):
     assert len(state_runs(spark, root)) == 3
 
 
+def test_match_job_with_last_scope_flags_one_source(spark, rows):
+    base = scratch_path(spark, "last")
+    table, root = f"{base}/matchID", f"{base}/state"
+    listed = spark.createDataFrame(
+        [("m1", "p1", 0, "r", "k", None, 0), ("m1", "p2", 0, "r", "k", None, 1)], match_ids.STORED
+    )
+    listed.write.partitionBy(*match_ids.FOLDERS).parquet(table)
+    matches.run_plan_matches(spark, table, root, "1")
+    replies = spark.createDataFrame([("m1", 404, None, None)], MATCH_REPLIES)
+    matches.run_matches(spark, root, replies, f"{base}/match", table, "2", AT, scope="last")
+    flags = rows(scan_table(spark, table, match_ids.STORED), "puuid", "is_ingested")
+    assert flags == [("p1", 0), ("p2", 1)]
+
+
 def stored_pairs(spark, table):
     stored = scan_table(spark, table, match_ids.STORED).select("match_id", "puuid")
     return sorted(tuple(r) for r in stored.collect())

@@ -220,6 +220,7 @@ def test_landed_json(spark, rows, tmp_path):
     (folder / "b.json").write_text("{broken\n")
     with pytest.raises(Exception):
         pages.read_landed(spark, str(folder), LADDER_PAGES).collect()
+    assert rows(pages.read_landed(spark, str(folder), LADDER_PAGES, tolerant=True), "platform") == [("kr",)]
 
 
 def test_bare_value_layout_is_read_back_into_columns(spark, rows):
