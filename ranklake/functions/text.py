@@ -30,4 +30,4 @@ def tier_rank(col: str | Column, ranks: dict[str, int] = TIER_RANKS, blank: str
 
 def key_text(col: str | Column) -> Column:
     """A key as text in which NULL is a value of its own, so that it groups and joins like any other."""
-    return F.coalesce(_col(col).cast("string"), F.lit("\u0000none"))
+    return F.coalesce(F.concat(F.lit("="), _col(col).cast("string")), F.lit("NULL"))

@@ -64,9 +64,9 @@ def flag_touched(
 
     The first pass reads keys and partition columns only. Its result, one row per partition, is
     written down, so that Spark knows its size when it plans the second pass: it is broadcast if
-    small enough, and then prunes the folders that are read.
+    small enough, and then prunes the folders that are read. The hot keys serve both passes.
     """
-    hot = hot_keys(listings, [key])
+    hot = settle(hot_keys(listings, [key]), "hot-keys")
     touched = settle(touched_partitions(listings, done, key, by, spread, hot), "touched")
     affected = listings.join(touched.where("hits > 0").select(*by), by, "left_semi").select(*listings.columns)
     return flag_listings(affected, done, key, spread, scope, order, hot)

@@ -8,7 +8,8 @@ from pyspark.sql.types import StructType
 
 from ranklake.functions.dates import as_timestamp
 from ranklake.operators.joins import new_files
-from ranklake.schemas import FILE_LEDGER
+from ranklake.plans import ladder, match_ids, matches
+from ranklake.schemas import FILE_LEDGER, LADDER, MATCHES, REGISTERED_TABLES
 from ranklake.session import path_exists
 from ranklake.sinks.tables import append, conform
 from ranklake.sources.files import file_stats, list_files
@@ -29,6 +30,19 @@ def refresh_table(spark: SparkSession, name: str, by: list[str]) -> None:
     spark.catalog.refreshTable(name)
 
 
+def lake_tables(lake: str, database: str = "default") -> list[tuple]:
+    """The three tables of the lake, in the form that ``sync`` takes."""
+    dated = StructType([*MATCHES.fields])
+    for name in ("year", "month", "date"):
+        dated = dated.add(name, "integer")
+    kinds = {
+        "league": (LADDER, ladder.FOLDERS),
+        "match_id": (match_ids.STORED, match_ids.FOLDERS),
+        "match": (dated, matches.FOLDERS),
+    }
+    return [(f"{database}.{name}", f"{lake}/{folder}", *kinds[name]) for name, folder in REGISTERED_TABLES.items()]
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return scan_table(spark, path, FILE_LEDGER)
 

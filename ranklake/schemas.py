@@ -52,12 +52,7 @@ ROWS_PER_GROUP = 1000
 ROW_BYTES = 100
 MEGABYTE = 1024 * 1024
 FLUSH_BYTES = {"ladder": 4 * MEGABYTE, "match_ids": 1 * MEGABYTE, "matches": 32 * MEGABYTE}
-# name, folder, partition columns
-REGISTERED_TABLES = [
-    ("league", "league", ["region", "platform", "tier", "division"]),
-    ("match_id", "matchID", ["region", "platform"]),
-    ("match", "match", ["region", "platform", "year", "month"]),
-]
+REGISTERED_TABLES = {"league": "league", "match_id": "matchID", "match": "match"}  # name, folder
 # --- end of fixed values ---
 
 

@@ -194,6 +194,16 @@ def test_sync_registers_once(spark, lake, rows):
     assert spark.table("league_sync").count() == 5
 
 
+def test_lake_tables_sync_before_all_folders_exist(spark, lake, rows):
+    base, _ = lake
+    spark.sql("CREATE DATABASE IF NOT EXISTS lake")
+    done = registry.sync(spark, f"{base}/lake-ledger", registry.lake_tables(base, "lake"), AT)
+    assert {r["table_name"] for r in done.collect()} == {"lake.league", "lake.match_id", "lake.match"}
+    assert spark.table("lake.league").count() == 5
+    for name in ("league", "match_id", "match"):
+        spark.sql(f"DROP TABLE lake.{name}")
+
+
 def test_conform_rejects_a_missing_column(spark):
     with pytest.raises(Exception):
         conform(spark.createDataFrame([("a",)], "match_id string"), MATCH_IDS).collect()

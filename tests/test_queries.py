@@ -44,5 +44,23 @@ def test_query_agrees_with_its_sql(spark, duck, name):
     assert canonical([tuple(r) for r in df.collect()], df.columns) == canonical(result.fetchall(), columns)
 
 
+FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "PythonUDF", "MapInArrow", "MapInPandas"]
+
+
+@pytest.mark.skipif(not FOLDER.exists(), reason="needs the benchmark tables")
+@pytest.mark.parametrize("name", PLAIN)
+def test_plan_has_no_pair_join_and_no_python(spark, name):
+    plan = entry.queries()[name](spark, str(FOLDER))._jdf.queryExecution().executedPlan().toString()
+    assert [word for word in FORBIDDEN if word in plan] == []
+
+
+@pytest.mark.skipif(not FOLDER.exists(), reason="needs the benchmark tables")
+def test_scans_read_only_what_they_need(spark):
+    plan = entry.queries()["player_plan"](spark, str(FOLDER))._jdf.queryExecution().executedPlan().toString()
+    assert "o_totalprice" not in plan and "props" not in plan
+    done = entry.queries()["mark_done"](spark, str(FOLDER))._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(o_orderstatus,F)" in done and "o_totalprice" not in done and "l_tax" not in done
+
+
 def test_jobs_are_registered():
     assert {"ladder_job", "player_job", "match_id_job", "match_plan_job", "match_job"} <= set(jobs.query.queries)
