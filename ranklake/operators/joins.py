@@ -1,6 +1,7 @@
 """Joins with dimensions, state and finished work. All are equi-joins.
 
-No side is broadcast by hint: Spark broadcasts a side whose measured size allows it.
+Only a dimension is broadcast by hint, after its rows were counted. Elsewhere Spark broadcasts
+a side whose known size allows it.
 """
 
 from __future__ import annotations
@@ -12,14 +13,21 @@ from ranklake.operators.normalize import is_done
 from ranklake.operators.skew import join_unique
 
 
+LOOKUP_ROWS = 100_000
+
+
 def lookup(
     df: DataFrame, dim: DataFrame, on: str, value: str, dim_key: str | None = None, strict: bool = True
 ) -> DataFrame:
     """Add ``value`` of the dimension row with the same key.
 
     An unknown key is an error that names known keys (the first 50), or gives ``''`` if not ``strict``.
+    Facts often have few distinct keys here, so shuffling them by key would fill few tasks: a
+    dimension of up to ``LOOKUP_ROWS`` rows, counted first, is broadcast.
     """
     side = dim.select(F.col(dim_key or on).alias("_dim_key"), F.col(value).alias("_dim_value"))
+    if side.limit(LOOKUP_ROWS + 1).count() <= LOOKUP_ROWS:
+        side = F.broadcast(side)
     joined = df.join(side, F.col(on) == F.col("_dim_key"), "left")
     if strict:
         known = side.select("_dim_key").distinct().orderBy("_dim_key").limit(50)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ranklake.functions.text import key_text
-from ranklake.operators.skew import join_unique
+from ranklake.operators.skew import hot_keys, join_unique
 from ranklake.schemas import ROW_BYTES
 from ranklake.session import settle
 
@@ -23,24 +23,30 @@ def numbered(df: DataFrame, order: list[str], by: list[str] = (), name: str = "r
     Rows that are equal in all of ``order`` come in any order, but each gets its own number.
     """
     keys = [*by, *order]
+    groups = {f"_group{i}": key_text(c) for i, c in enumerate(by)}
     ordered = settle(df.repartitionByRange(*keys).sortWithinPartitions(*keys), "ordered")
     file = F.col("_metadata.file_path").alias("_file")
-    rows = ordered.select(*df.columns, file, F.col("_metadata.row_index").alias("_index"))
+    rows = ordered.select(*df.columns, file, F.col("_metadata.row_index").alias("_index")).withColumns(groups)
+
+    # Both small results are written, so that Spark knows their size when it plans the joins.
+    spans = rows.groupBy("_file", *groups).agg(F.count("*").alias("_rows"), F.min("_index").alias("_least"))
+    spans = settle(spans, "spans")
     number = F.regexp_extract("_file", r"part-(\d+)", 1).cast("long")
     before = Window.orderBy(number, "_file").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        ordered.select(file)
-        .groupBy("_file")
-        .agg(F.count("*").alias("_rows"))
+        spans.groupBy("_file")
+        .agg(F.sum("_rows").alias("_rows"))
         .select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     )
+    starts = settle(starts, "starts")
     placed = rows.join(starts, "_file").withColumn("_place", F.col("_start") + F.col("_index"))
     if not by:
         return placed.select(*df.columns, F.col("_place").alias(name))
-    groups = {f"_group{i}": key_text(c) for i, c in enumerate(by)}
-    placed = placed.withColumns(groups)
-    firsts = placed.groupBy(*groups).agg(F.min("_place").alias("_first"))
-    return join_unique(placed, firsts, list(groups), "inner", ["_place"]).select(
+    firsts = (
+        spans.join(starts, "_file").groupBy(*groups).agg(F.min(F.col("_start") + F.col("_least")).alias("_first"))
+    )
+    hot = hot_keys(rows, list(groups))
+    return join_unique(placed, firsts, list(groups), "inner", ["_place"], hot).select(
         *df.columns, (F.col("_place") - F.col("_first")).alias(name)
     )
 
