@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ranklake.functions.dates import as_timestamp
 from ranklake.schemas import RESUME
 from ranklake.session import delete_path
 
-from pyspark.sql import functions as F
-
 
 class ResumeNotFound(LookupError):
     """No saved work for the job."""
@@ -23,6 +22,7 @@ def resume_rows(
     left: DataFrame, item: str, job_type: str, job_id: str, retry_after, saved_at, staging_path=None, shard=None
 ) -> DataFrame:
     """Ledger rows for the items in ``left``, which has a ``part`` column."""
+    wait = retry_after if isinstance(retry_after, Column) else F.lit(retry_after)
     return left.select(
         F.lit(job_type).alias("job_type"),
         F.lit(job_id).alias("job_id"),
@@ -30,7 +30,7 @@ def resume_rows(
         F.lit(shard).cast("int").alias("shard_id"),
         F.col(item).cast("string").alias("item"),
         F.lit(staging_path).cast("string").alias("staging_path"),
-        (retry_after if hasattr(retry_after, "cast") else F.lit(retry_after)).cast("double").alias("retry_after_seconds"),
+        wait.cast("double").alias("retry_after_seconds"),
         as_timestamp(saved_at).alias("checkpoint_timestamp"),
     )
 

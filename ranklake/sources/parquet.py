@@ -39,7 +39,8 @@ def scan_with_source(spark: SparkSession, path: str, schema: StructType, partiti
     """``scan`` plus the file each row came from and its place in that file."""
     found = _read(spark, path, schema, {} if partitioned else _FLAT)
     if found is None:
-        return spark.createDataFrame([], StructType([*schema.fields]).add("source_file_path", "string").add("source_row", "long"))
+        sourced = StructType([*schema.fields]).add("source_file_path", "string").add("source_row", "long")
+        return spark.createDataFrame([], sourced)
     return found.select(
         *[f.name for f in schema],
         F.col("_metadata.file_path").alias("source_file_path"),

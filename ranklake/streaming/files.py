@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ranklake.functions.dates import as_timestamp
 from ranklake.operators.joins import mark
+from ranklake.plans.registry import ledger_rows, read_ledger
 from ranklake.sinks.tables import append, newest_state, write_state
 from ranklake.sources.parquet import scan_table
 
@@ -76,9 +76,8 @@ def register_arrivals(ledger_path: str, table: str, registered_at) -> Callable:
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        from ranklake.plans.registry import ledger_rows, read_ledger
-
         files = batch.groupBy("file_path").agg(F.count("*").alias("record_count"), F.max("file_size").alias("bytes"))
-        append(ledger_rows(read_ledger(batch.sparkSession, ledger_path), files, table, as_timestamp(registered_at)), ledger_path)
+        ledger = read_ledger(batch.sparkSession, ledger_path)
+        append(ledger_rows(ledger, files, table, registered_at), ledger_path)
 
     return step
