@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranklake.llm import chat, exact, mixing, topk, warc
+from ranklake.llm import chat, exact, mixing, packing, simhash, topk, warc
 from ranklake.session import scratch_path
 from ranklake.workload import Registry
 
@@ -131,3 +131,13 @@ FROM n WINDOW w AS (PARTITION BY text_sha256)
 @query(_EXACT)
 def op7_exact(spark: SparkSession, folder: str) -> DataFrame:
     return exact.mark_copies(table(spark, folder, "documents"), digest_all=True)
+
+
+@query()
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query()
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
