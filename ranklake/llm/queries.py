@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranklake.llm import chat, exact, mixing, packing, simhash, topk, warc
+from ranklake.llm import chat, exact, langid, mixing, packing, simhash, topk, warc
 from ranklake.session import scratch_path
 from ranklake.workload import Registry
 
@@ -141,3 +141,9 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
+
+
+@query()
+def op9_langid(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return langid.identify(docs, langid.learn(docs))
