@@ -89,7 +89,7 @@ SELECT page_id, payload_bytes, payload_digest,
 @query(_WARC)
 def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     archives = scratch_path(spark, "warc")
-    warc.write_archives(table(spark, folder, "pages"), archives)
+    warc.write_archives(table(spark, folder, "pages"), archives, compression="gzip")
     return warc.page_records(spark, archives)
 
 
