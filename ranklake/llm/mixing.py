@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ranklake.llm.common import WORD, key_of, present, uniform
 from ranklake.session import settle
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 12
 
 
 def word_count(name: str) -> Column:
