@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranklake.llm import chat, exact, langid, mixing, packing, simhash, topk, toxicity, warc
+from ranklake.llm import chat, exact, langid, mixing, packing, passages, simhash, topk, toxicity, warc
 from ranklake.session import scratch_path
 from ranklake.workload import Registry
 
@@ -153,3 +153,8 @@ def op9_langid(spark: SparkSession, folder: str) -> DataFrame:
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return toxicity.score(docs, toxicity.learn(docs, table(spark, folder, "labels")))
+
+
+@query()
+def op8_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.remove_repeats(table(spark, folder, "documents")).drop("kept")
