@@ -106,6 +106,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACIT
     counted = counted.withColumn("rest", (F.col("tokens") % capacity).cast("int"))
     # The digest orders documents of one id, so that no number of equal keys has to stay together.
     counted = counted.withColumn("tie", F.xxhash64("doc_id", "sums"))
+    # Written first: the ranges of the numbering are found in a pass of their own, which would count all tokens again.
+    counted = settle(counted, "packing-counts")
     ranked = settle(numbered(counted, ["tie", "doc_id"], ["rest"], "rank"), "packing-ranks")
     found = ranked.groupBy("rest").agg(F.count("*"), F.max("tokens")).collect()  # at most one row per length
     demand = np.zeros(capacity + 1, np.int64)
