@@ -40,12 +40,9 @@ def _counted(path: str, capacity: int):
     return run
 
 
-def places(uses: list[cutting.Use], first: int = 0) -> tuple[dict[str, np.ndarray], int]:
-    """For each length the runs of ranks that share a place: arrays in order of length and rank.
-
-    Also returns the number of sequences.
-    """
-    rows, taken, sequence = [], {}, first
+def places(uses: list[cutting.Use]) -> dict[str, np.ndarray]:
+    """For each length the runs of ranks that share a place: arrays in order of length and rank."""
+    rows, taken, sequence = [], {}, 0
     for use in uses:
         offset = 0
         for length in use.lengths:
@@ -55,7 +52,22 @@ def places(uses: list[cutting.Use], first: int = 0) -> tuple[dict[str, np.ndarra
             offset += length
         sequence += use.times
     table = np.array(sorted(rows), np.int64).reshape(-1, 4)
-    return dict(zip(("length", "rank", "sequence", "offset"), table.T)), sequence
+    return dict(zip(("length", "rank", "sequence", "offset"), table.T))
+
+
+def _planned(capacity: int):
+    """The plan for a histogram that arrives as one row: bounded by the capacity, and kept off the driver's threads."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                demand = np.zeros(capacity + 1, np.int64)
+                for one in row["lengths"]:
+                    demand[one["rest"]] = one["n"]
+                plan = places(cutting.solve(demand))
+                yield pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in plan.items()})
+
+    return run
 
 
 def _placed(plan: dict[str, np.ndarray], starts: np.ndarray, sequences: int, fulls: int, capacity: int):
@@ -109,14 +121,18 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACIT
     # Written first: the ranges of the numbering are found in a pass of their own, which would count all tokens again.
     counted = settle(counted, "packing-counts")
     ranked = settle(numbered(counted, ["tie", "doc_id"], ["rest"], "rank"), "packing-ranks")
-    found = ranked.groupBy("rest").agg(F.count("*"), F.max("tokens")).collect()  # at most one row per length
-    demand = np.zeros(capacity + 1, np.int64)
-    for rest, n, _ in found:
-        demand[rest] = n
-    starts = np.cumsum(demand) - demand
-    fulls = max([most for _, _, most in found], default=0) // capacity + 1
-    demand[0] = 0
-    plan, sequences = places(cutting.solve(demand))
+    lengths = ranked.groupBy("rest").agg(F.count("*").alias("n"), F.max("tokens").alias("most"))
+    lengths = settle(lengths, "packing-lengths")  # at most one row per length
+    found = lengths.collect()
+    counts = np.zeros(capacity, np.int64)
+    for row in found:
+        counts[row.rest] = row.n
+    starts = np.cumsum(counts) - counts
+    fulls = max([row.most for row in found], default=0) // capacity + 1
+    histogram = lengths.where("rest > 0").agg(F.collect_list(F.struct("rest", "n")).alias("lengths"))
+    plan = histogram.mapInArrow(_planned(capacity), "length long, rank long, sequence long, offset long").toPandas()
+    plan = {name: plan[name].to_numpy(np.int64) for name in plan}
+    sequences = int(plan["sequence"].max() + counts.max()) if len(plan["sequence"]) else 0
     placed = _placed(plan, starts, sequences, fulls, capacity)
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return ranked.select("doc_id", "tokens", "sums", "rank").mapInArrow(placed, schema)
