@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ranklake.llm.common import present
+from ranklake.session import settle
 
 #: Families of languages that are often mistaken for each other. A language not listed is a family of its own.
 FAMILIES = {
@@ -152,8 +153,12 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, doc_id: str = "doc_
         F.xxhash64(F.col(doc_id), F.lit("sample")).alias("_at"),
     )
     usable = rows.where(F.col("lang").isNotNull() & ~held_out(F.col("_id")) & F.col("_text").rlike(_LETTER))
-    order = Window.partitionBy("lang").orderBy("_at", "_id")
-    ids = usable.select("lang", "_at", "_id").withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language)
+    # About twice as many as needed are ranked, however many rows and tasks there are.
+    counts = settle(usable.groupBy("lang").agg(F.count("*").alias("_all")), "langid-counts")
+    share = F.pmod("_at", F.lit(1 << 40)) / float(1 << 40)
+    near = usable.select("lang", "_at", "_id").join(counts, "lang").where(share * F.col("_all") <= 2 * per_language)
+    order = Window.partitionBy("lang").orderBy(F.pmod("_at", F.lit(1 << 40)), "_at", "_id")
+    ids = near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language)
     chosen = F.broadcast(ids.select("lang", "_at").distinct())  # per_language rows of each language at most
     sample = usable.join(chosen, ["lang", "_at"], "left_semi").select("lang", F.col("_text").cast("binary").alias("text"))
     found = sample.mapInArrow(_features, "lang string, x binary").toPandas()
