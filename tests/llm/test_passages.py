@@ -60,14 +60,14 @@ def test_against_all_strings(spark, seed):
 
 def test_anchor_too_common_for_a_task(spark, monkeypatch):
     texts = corpus(3)
-    rows = [(None, None, t) for t in texts if len((t or "").encode()) >= 200]
-    stretches = [(int(a), t.encode()[s : s + n + 199]) for _, _, t in rows for x in passages.stretches(t.encode()) for a, s, n in zip(*x)]
-    grouped = Counter(stretches)
-    ordered = sorted((a, hash(b) % 2**62, b, n) for (a, b), n in grouped.items())
+    long = [t.encode() for t in texts if len((t or "").encode()) >= 200]
+    stretches = [(a, t[s : s + n + 199], p - s) for t in long for x in passages.stretches(t) for a, s, n, p in zip(*(y.tolist() for y in x))]
+    ordered = sorted((a, passages._digest(b), at, n, b) for (a, b, at), n in Counter(stretches).items())
     import pyarrow as pa
 
     def judge():
-        batches = [pa.RecordBatch.from_pydict(dict(zip(("anchor", "digest", "bytes", "n"), map(list, zip(*ordered[i : i + 7]))))) for i in range(0, len(ordered), 7)]
+        names = ("anchor", "digest", "at", "n", "bytes")
+        batches = [pa.RecordBatch.from_pydict(dict(zip(names, map(list, zip(*ordered[i : i + 7]))))) for i in range(0, len(ordered), 7)]
         return [r for b in passages._judge(iter(batches)) for r in b.to_pylist()]
 
     flags = lambda spans: sorted(x for a, b in zip(spans[::2], spans[1::2]) for x in range(a, b))
@@ -87,7 +87,7 @@ def test_long_texts_in_pieces(monkeypatch):
     whole = [tuple(map(int, x)) for part in passages.stretches(text) for x in zip(*part)]
     monkeypatch.setattr(passages, "_PIECE", 300)
     pieces = [tuple(map(int, x)) for part in passages.stretches(text) for x in zip(*part)]
-    anchor_of = lambda rows: {s + i: a for a, s, n in rows for i in range(n)}
+    anchor_of = lambda rows: {s + i: (a, p) for a, s, n, p in rows for i in range(n)}
     assert anchor_of(whole) == anchor_of(pieces)
 
 
