@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,3 +33,29 @@ def uniform(*columns: Column) -> Column:
 
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def dense_table(cells: DataFrame, size_log: int, dtype: str) -> np.ndarray:
+    """An array of ``2 ** size_log`` numbers from rows of ``place`` and ``value``, each place once; 0 elsewhere.
+
+    Tasks fill blocks of the array, so what reaches the driver is the array itself, whatever the number of rows.
+    """
+    block_log = min(size_log, 14)
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict[int, np.ndarray] = {}
+        for batch in batches:
+            place, value = batch["place"].to_numpy(), batch["value"].to_numpy()
+            for block in np.unique(place >> block_log).tolist():
+                own = place >> block_log == block
+                here = blocks.setdefault(block, np.zeros(1 << block_log, dtype))
+                here[place[own] & (1 << block_log) - 1] = value[own]
+        for block, data in blocks.items():
+            yield pa.RecordBatch.from_pydict({"block": pa.array([block]), "data": pa.array([data.tobytes()], pa.binary())})
+
+    block = F.shiftright("place", block_log)
+    filled = cells.select("place", "value").repartition(partitions(cells), block).mapInArrow(fill, "block long, data binary")
+    table = np.zeros(1 << size_log, dtype)
+    for row in filled.toLocalIterator():
+        table[row.block << block_log : (row.block + 1) << block_log] = np.frombuffer(row.data, dtype)
+    return table

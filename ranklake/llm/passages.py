@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ranklake.llm.common import partitions, present
+from ranklake.llm.common import dense_table, partitions, present
 from ranklake.llm.suffixes import LIMIT, order_places
 from ranklake.session import settle
 
@@ -84,16 +84,12 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _table(anchors: DataFrame) -> np.ndarray:
-    """The bit table of anchors that occur again: at most ``2 ** TABLE_LOG / 64`` words come to the driver."""
+    """The bit table of anchors that occur again: ``2 ** TABLE_LOG`` bits, whatever their number."""
     again = anchors.groupBy("anchor").count().where("count > 1")
     place = F.shiftrightunsigned("anchor", 64 - TABLE_LOG)
-    words = again.groupBy(F.shiftright(place, 6).alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(anchor, {64 - TABLE_LOG}) & 63 as int))")).alias("bits")
-    )
-    found = words.toPandas()
-    table = np.zeros(1 << TABLE_LOG - 6, np.uint64)
-    table[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
-    return table
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(anchor, {64 - TABLE_LOG}) & 63 as int))")
+    words = again.groupBy(F.shiftright(place, 6).alias("place")).agg(F.bit_or(bit).alias("value"))
+    return dense_table(words, TABLE_LOG - 6, "i8").view(np.uint64)
 
 
 def _marked(table: np.ndarray, anchors: np.ndarray) -> np.ndarray:

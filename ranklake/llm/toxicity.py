@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ranklake.llm.common import present
+from ranklake.llm.common import dense_table, present
 from ranklake.session import settle
 
 ORDER = 7
@@ -212,10 +212,8 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         .groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
     )
     ratios = log_ratios(settle(counts, "toxicity-counts")).mapInArrow(_in_places, "place long, ratio double, n long")
-    mean = (F.sum(F.col("ratio") * F.col("n")) / F.sum("n")).cast("float").alias("ratio")
-    places = ratios.groupBy("place").agg(mean).toPandas()  # at most a row per place of the table
-    table = np.zeros(1 << PLACES_LOG, np.float32)
-    table[places["place"].to_numpy(np.int64)] = places["ratio"].to_numpy(np.float32)
+    mean = (F.sum(F.col("ratio") * F.col("n")) / F.sum("n")).cast("float").alias("value")
+    table = dense_table(ratios.groupBy("place").agg(mean), PLACES_LOG, "f4")
 
     rows = known.where("part = 3").orderBy(F.xxhash64("doc_id")).limit(CALIBRATION_ROWS)
     shared = spark.sparkContext.broadcast(table)
