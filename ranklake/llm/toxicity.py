@@ -27,8 +27,9 @@ ORDER = 7
 DISCOUNT = 0.75
 #: Log ratios are handed to the tasks in a table of so many places (a power of two), whatever the number of n-grams.
 PLACES_LOG = 22
-#: At most so many labelled rows set the logistic fit.
-CALIBRATION_ROWS = 20_000
+#: At most so many labelled rows are learnt from, by the hash of their ids, so that the labels can be sent to the
+#: texts instead of the texts to the labels; and at most so many of them set the logistic fit.
+LABELLED_ROWS, CALIBRATION_ROWS = 250_000, 20_000
 THRESHOLD = 0.3
 _PIECE = 1 << 20
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -195,18 +196,21 @@ def _measured(table):
 
 
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Model:
-    """Count all labelled rows of the learning part (``crc32(id) mod 4`` other than 2) and fit the scores.
+    """Count labelled rows of the learning part (``crc32(id) mod 4`` other than 2), whole texts, and fit the scores.
 
+    At most ``LABELLED_ROWS`` labels are used: all, if there are no more.
     Rows of remainder 3 set the logistic fit, at most ``CALIBRATION_ROWS`` of them; the others are counted. A document
     with several labels is toxic if one says so; a null label is none. Without both classes the
     score is the share of toxic rows, or 0.
     """
     spark = docs.sparkSession
-    marks = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    usable = labels.where(F.col("toxic").isNotNull() & (_part(F.col("doc_id")) != 2))
+    marks = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    marks = settle(marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED_ROWS), "toxicity-labels")
     texts = docs.select(
         F.col(doc_id).alias("doc_id"), F.lower(present(text)).cast("binary").alias("text"), _part(F.col(doc_id)).alias("part")
     )
-    known = texts.where("part <> 2").join(marks, "doc_id")
+    known = texts.where("part <> 2").join(F.broadcast(marks), "doc_id")
     counts = (
         known.where("part <> 3").select("text", "toxic").mapInArrow(_counted, "gram long, ordinary long, toxic long")
         .groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
