@@ -1,13 +1,15 @@
 """One row per key.
 
 The ranking window keeps its best rows on the map side before the shuffle
-(``WindowGroupLimit``), so a hot key sends one row per input partition.
+(``WindowGroupLimit``), so a hot key sends one row per input partition. Spark does that for up to
+``spark.sql.optimizer.windowGroupLimitThreshold`` rows; for more, a key is first cut in pieces by a hash.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from ranklake.functions.text import tier_rank
 
@@ -16,6 +18,15 @@ def cap_per_key(df: DataFrame, keys: list[str], order: list, cap: int) -> DataFr
     """The first ``cap`` rows of each key."""
     if cap < 1:
         raise ValueError(f"cap must be at least 1, got {cap}")
+    if cap > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        flat = [f.name for f in df.schema if isinstance(f.dataType, AtomicType) and f.name not in keys]
+        piece = F.pmod(F.xxhash64(F.lit("piece"), *flat), F.lit(parts))
+        df = _first(df.withColumn("_piece", piece), [*keys, "_piece"], order, cap).drop("_piece")
+    return _first(df, keys, order, cap)
+
+
+def _first(df: DataFrame, keys: list[str], order: list, cap: int) -> DataFrame:
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_place", place).where(F.col("_place") <= cap).drop("_place")
 

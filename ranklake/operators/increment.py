@@ -1,8 +1,8 @@
 """The new part of an ordered list of ids, per key.
 
 Every window here works on rows already cut to ``cap`` per key, so its groups are
-bounded; the cut itself is made on the map side first. That loses nothing: what
-follows the first ``cap`` rows of a key can neither be kept nor end the list earlier.
+bounded; the cut itself is made on the map side first, and before the join with the stored ids. That
+loses nothing: what follows the first ``cap`` rows of a key can neither be kept nor end the list earlier.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from ranklake.functions.dates import midnight_epoch
 from ranklake.operators.dedup import cap_per_key
 from ranklake.operators.filters import is_due
 from ranklake.operators.joins import flag_known
-from ranklake.operators.skew import hot_keys, join_unique
+from ranklake.operators.skew import join_unique
 from ranklake.schemas import IDS_PER_PLAYER, QUEUE
 
 
@@ -34,8 +34,8 @@ def take_until_seen(
 
     ``known`` has columns ``key`` and ``item``. ``pos`` orders the rows of a key without ties.
     """
-    flagged = flag_known(df, known, [key, item], [pos], "_known")
-    first = cap_per_key(flagged, [key], [pos], cap).withColumn("_again", _repeats(key, item, pos))
+    first = cap_per_key(df, [key], [pos], cap).withColumn("_again", _repeats(key, item, pos))
+    first = flag_known(first, known, [key, item], None, "_known")
     return _until_first(first, key, pos, F.col("_known") | F.col("_again")).select(*df.columns)
 
 
@@ -61,8 +61,7 @@ def increment(
     queued = ids.where(F.col(queue_col) == F.lit(queue))
     listed = join_unique(queued, waiting, [key], "inner", [pos])
     recent = F.col("last_read").isNull() | (F.col(start) >= midnight_epoch("last_read") * 1000)
-    pairs = hot_keys(queued, [key, item])
-    flagged = flag_known(listed.where(recent), known, [key, item], [pos], "_known", pairs)
-    first = cap_per_key(flagged, [key], [pos], cap).withColumn("_again", _repeats(key, item, pos))
+    first = cap_per_key(listed.where(recent), [key], [pos], cap).withColumn("_again", _repeats(key, item, pos))
+    first = flag_known(first, known, [key, item], None, "_known")
     stop = F.col("last_read").isNotNull() & (F.col("_known") | F.col("_again"))
     return _until_first(first, key, pos, stop).drop("_known", "_again")

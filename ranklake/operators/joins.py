@@ -1,19 +1,18 @@
 """Joins with dimensions, state and finished work. All are equi-joins.
 
-Only a dimension is broadcast by hint, after its rows were counted. Elsewhere Spark broadcasts
-a side whose known size allows it.
+Nothing is broadcast by hint but the bounded list of hot keys. Spark broadcasts a side whose known size
+allows it, and small sides are written first so that it is known.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from ranklake.operators.normalize import is_done
 from ranklake.operators.skew import join_unique
-
-
-LOOKUP_ROWS = 100_000
+from ranklake.session import settle
 
 
 def lookup(
@@ -21,25 +20,26 @@ def lookup(
 ) -> DataFrame:
     """Add ``value`` of the dimension row with the same key.
 
-    An unknown key is an error that names known keys (the first 50), or gives ``''`` if not ``strict``.
-    Facts often have few distinct keys here, so shuffling them by key would fill few tasks: a
-    dimension of up to ``LOOKUP_ROWS`` rows, counted first, is broadcast.
+    An unknown key is an error that names the known ones, or gives ``''`` if not ``strict``.
+    Facts often have few distinct keys here, so the join cuts hot keys into pieces; a dimension that
+    Spark knows to be small, as it is written first, is broadcast instead of shuffled.
     """
-    side = dim.select(F.col(dim_key or on).alias("_dim_key"), F.col(value).alias("_dim_value"))
-    if side.limit(LOOKUP_ROWS + 1).count() <= LOOKUP_ROWS:
-        side = F.broadcast(side)
-    joined = df.join(side, F.col(on) == F.col("_dim_key"), "left")
+    side = settle(dim.select(F.col(dim_key or on).alias("_dim_key"), F.col(value).alias("_dim_value")), "dimension")
+    flat = [f.name for f in df.schema if not isinstance(f.dataType, (ArrayType, MapType, StructType, VariantType))]
+    keyed = df.withColumn("_dim_key", F.col(on).cast(side.schema["_dim_key"].dataType))
+    marked = side.withColumn("_dim_known", F.lit(True))
+    joined = join_unique(keyed, marked, ["_dim_key"], "left", flat)
     if strict:
-        known = side.select("_dim_key").distinct().orderBy("_dim_key").limit(50)
+        known = side.select("_dim_key").distinct()
         names = known.agg(F.array_join(F.sort_array(F.collect_list(F.col("_dim_key").cast("string"))), ", "))
         text = F.concat(
             F.lit(f"unknown {on}: "), F.coalesce(F.col(on).cast("string"), F.lit("NULL")),
             F.lit("; known: "), F.coalesce(names.scalar(), F.lit("")),
         )
-        found = F.when(F.col("_dim_key").isNull(), F.raise_error(text)).otherwise(F.col("_dim_value"))
+        found = F.when(F.col("_dim_known").isNull(), F.raise_error(text)).otherwise(F.col("_dim_value"))
     else:
         found = F.coalesce(F.col("_dim_value"), F.lit(""))
-    return joined.withColumn(value, found).drop("_dim_key", "_dim_value")
+    return joined.withColumn(value, found).drop("_dim_key", "_dim_value", "_dim_known")
 
 
 def merge_state(keys: DataFrame, state: DataFrame, key: str, value: str = "last_read") -> DataFrame:
@@ -67,7 +67,8 @@ def flag_known(
 ) -> DataFrame:
     """Add whether the row's key is among ``existing``.
 
-    ``spread`` names columns that differ between rows of one key; None says that keys are unique in ``df``.
+    ``spread`` names columns that differ between rows of one key; None says that a key has a bounded
+    number of rows in ``df``.
     """
     seen = existing.select(*on, F.lit(True).alias(name))
     if spread is None:
@@ -100,10 +101,14 @@ def existing_keys(table: DataFrame, wanted: DataFrame, on: list[str], keys: list
     """Distinct stored ``keys`` of the wanted groups only.
 
     Where ``on`` holds partition columns, only the partitions of the wanted groups are read.
+    A group with a large share of the stored keys is cut into pieces.
     """
-    return table.select(*{**dict.fromkeys(on), **dict.fromkeys(keys)}).join(
-        wanted.select(*on).distinct(), on, "left_semi"
-    ).select(*keys).distinct()
+    stored = table.select(*{**dict.fromkeys(on), **dict.fromkeys(keys)})
+    spread = [k for k in keys if k not in on]
+    groups = wanted.select(*on)
+    if spread:
+        return join_unique(stored, groups, on, "left_semi", spread, dedup=True).select(*keys).distinct()
+    return stored.distinct().join(groups.distinct(), on, "left_semi").select(*keys)
 
 
 def new_files(listed: DataFrame, ledger: DataFrame, path: str = "file_path") -> DataFrame:

@@ -26,7 +26,7 @@ _REQUIRED = [
 ]
 _BODY = (
     "metadata struct<participants: string>, "
-    "info struct<gameStartTimestamp: bigint, gameDuration: bigint, gameVersion: string, queueId: int, "
+    "info struct<gameStartTimestamp: string, gameDuration: string, gameVersion: string, queueId: string, "
     "participants: string, teams: string>"
 )
 
@@ -63,19 +63,32 @@ def strict_entries(df: DataFrame, entry: str = "entry") -> tuple[DataFrame, Data
     return valid, checked.where(F.size("missing") > 0)
 
 
+def parse_match(df: DataFrame, body: str = "body") -> DataFrame:
+    """Add ``_doc``, the parsed body, whose ``_broken`` is set where the body is no JSON.
+
+    There is no limit on its size; Spark copies what is nested at most 1000 deep.
+    """
+    whole = {f"max{what}": str(2**31 - 1) for what in ("NestingDepth", "StringLen", "NumLen")}
+    options = {**whole, "columnNameOfCorruptRecord": "_broken"}
+    return df.withColumn("_doc", F.from_json(body, f"{_BODY}, _broken string", options))
+
+
 def normalize_match(
     df: DataFrame, ingested_at, body: str = "body", participants_from: str = "metadata"
 ) -> DataFrame:
-    """Match rows from one JSON body per row. Parses each body once; arrays stay JSON text."""
+    """Match rows from one JSON body per row. Parses each body once; arrays stay JSON text.
+
+    Rows that ``parse_match`` has seen keep what it found.
+    """
     if participants_from not in ("metadata", "info"):
         raise ValueError(f"participants_from must be 'metadata' or 'info', got {participants_from!r}")
-    parsed = df.withColumn("_doc", F.from_json(body, _BODY))
+    parsed = df if "_doc" in df.columns else parse_match(df, body)
     return parsed.select(
         "match_id",
-        or_default("_doc.info.gameStartTimestamp", 0).cast("long").alias("game_start_timestamp"),
-        or_default("_doc.info.gameDuration", 0).cast("long").alias("game_duration"),
+        or_default(F.col("_doc.info.gameStartTimestamp").try_cast("long"), 0).cast("long").alias("game_start_timestamp"),
+        or_default(F.col("_doc.info.gameDuration").try_cast("long"), 0).cast("long").alias("game_duration"),
         or_default("_doc.info.gameVersion", "").alias("game_version"),
-        or_default("_doc.info.queueId", 0).cast("int").alias("queue_id"),
+        or_default(F.col("_doc.info.queueId").try_cast("int"), 0).cast("int").alias("queue_id"),
         or_default(f"_doc.{participants_from}.participants", "[]").alias("participants"),
         or_default("_doc.info.teams", "[]").alias("teams"),
         "region",

@@ -20,11 +20,17 @@ def touched_partitions(
     spread: list[str],
     hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Partitions with at least one listing of a done id, and how many."""
-    hits = join_unique(listings, done.select(key), [key], "left_semi", spread, hot, dedup=True)
+    """Partitions with at least one listing of a done id that is not flagged yet, and how many."""
+    hits = join_unique(listings.where(~F.col("is_ingested").eqNullSafe(1)), done.select(key), [key], "left_semi", spread, hot, dedup=True)
     return hits.groupBy(*by).agg(F.count("*").alias("hits")).where("hits > 0")
 
 
+def last_listings(listings: DataFrame, done: DataFrame, key: str, columns: list[str], order: list[str]) -> DataFrame:
+    """The last listing of each done id in ``order``: its key and ``columns``."""
+    rows = listings.select(key, *dict.fromkeys(columns))
+    return latest_by(rows, [key], order).join(done.select(key).distinct(), key, "left_semi")
+
+
 def flag_listings(
     listings: DataFrame,
     done: DataFrame,
@@ -44,7 +50,7 @@ def flag_listings(
     if scope != "last" or not order:
         raise ValueError("scope must be 'all', or 'last' with an order")
     source = order[0]
-    last = latest_by(listings.select(key, *order), [key], list(order)).join(done.select(key).distinct(), key, "left_semi")
+    last = last_listings(listings, done, key, list(order), list(order))
     chosen = last.select(key, source).withColumn("_last", F.lit(True))
     flagged = join_unique(listings, chosen, [key, source], "left", spread)
     new = F.when(F.col("_last"), F.lit(1)).otherwise(F.col("is_ingested")).cast("int")
@@ -60,14 +66,19 @@ def flag_touched(
     scope: str = "all",
     order: list[str] = (),
 ) -> DataFrame:
-    """All rows, flags set, of the partitions that hold a listing of a done id.
+    """All rows, flags set, of the partitions in which a flag changes.
 
     The first pass reads keys and partition columns only. Its result, one row per partition, is
     written down, so that Spark knows its size when it plans the second pass: it is broadcast if
     small enough, and then prunes the folders that are read. The hot keys serve both passes.
     """
     hot = settle(hot_keys(listings, [key]), "hot-keys")
-    touched = settle(touched_partitions(listings, done, key, by, spread, hot), "touched")
+    if scope == "last":
+        found = last_listings(listings, done, key, [*order, "is_ingested", *by], list(order))
+        touched = found.where(~F.col("is_ingested").eqNullSafe(1)).groupBy(*by).agg(F.count("*").alias("hits"))
+    else:
+        touched = touched_partitions(listings, done, key, by, spread, hot)
+    touched = settle(touched, "touched")
     affected = listings.join(touched.where("hits > 0").select(*by), by, "left_semi").select(*listings.columns)
     return flag_listings(affected, done, key, spread, scope, order, hot)
 

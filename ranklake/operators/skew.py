@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ranklake.session import settle
+
 _SLOTS, _PER_SLOT, _TRACKED = 64, 32, 256
 
 
@@ -14,7 +16,8 @@ def hot_keys(df: DataFrame, on: list[str], parts: int | None = None) -> DataFram
     One pass over the key columns, with one frequent-item sketch of fixed size per slot of the
     hash: the sketches of all input splits are merged in 64 tasks, not in one. A key with a third
     of the rows gets a third of the partitions. At most 64 x 32 rows come out, so the result may
-    be broadcast. The sketch only decides how rows are spread, never which rows join.
+    be broadcast. The sketch only decides how rows are spread; both sides of a join must see the
+    same list, so it is written down before it is used.
     """
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slots = (
@@ -53,10 +56,10 @@ def join_unique(
     are repeated once per piece: at most one extra row per shuffle partition in all.
 
     With ``dedup``, ``right`` may repeat its rows; they are made distinct in the shuffle of the join.
-    Give ``hot`` (from ``hot_keys`` on the scan that ``left`` starts from, same key types) where
+    Give ``hot`` (``hot_keys`` of the scan that ``left`` starts from, same key types, settled) where
     ``left`` is itself the result of joins, which would else run again for the sketch.
     """
-    hot = F.broadcast(hot_keys(left, on) if hot is None else hot)
+    hot = F.broadcast(settle(hot_keys(left, on), "hot-keys") if hot is None else hot)
     for name in on:
         right = right.withColumn(name, F.col(name).cast(left.schema[name].dataType))
     extra = [c for c in right.columns if c not in on]

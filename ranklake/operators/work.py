@@ -16,6 +16,18 @@ from ranklake.session import scratch_path
 
 Reply = tuple[int | None, str | None, list[dict]]
 
+#: Replies that a task holds before it hands them on.
+BUFFER_BYTES = 8 << 20
+
+
+def _bytes(value) -> int:
+    """About how much memory a value takes."""
+    if isinstance(value, dict):
+        return 100 + sum(_bytes(v) for v in value.values())
+    if isinstance(value, (list, tuple)):
+        return 60 + sum(map(_bytes, value))
+    return 50 + (len(value) if isinstance(value, (str, bytes)) else 0)
+
 
 def _task(fn: Callable[[dict], Reply], key: list[str], arrow_schema, attempts: int):
     def run(batches):
@@ -23,7 +35,7 @@ def _task(fn: Callable[[dict], Reply], key: list[str], arrow_schema, attempts: i
 
         limited = False
         for batch in batches:
-            rows, held = [], 0
+            rows, held = [], 0  # replies not handed on yet, and about how many bytes they hold
             for item in batch.to_pylist():
                 name = {k: item[k] for k in key}
                 status, wait, records, tries, failure = None, None, [], 0, None
@@ -43,8 +55,8 @@ def _task(fn: Callable[[dict], Reply], key: list[str], arrow_schema, attempts: i
                 name["status"], name["retry_after"], name["attempts"], name["failure"] = status, wait, tries, failure
                 name["records"] = records if status is not None and status < 400 else []
                 rows.append(name)
-                held += 1 + len(name["records"])
-                if held >= 5000:
+                held += 200 + sum(_bytes(r) for r in name["records"])
+                if held >= BUFFER_BYTES:
                     yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
                     rows, held = [], 0
             if rows:
@@ -85,7 +97,8 @@ def map_work(
             StructField("records", ArrayType(records)),
         ]
     )
-    spread = work.repartition(parts, *key) if parts else work.repartition(*key)
+    # A number of its own, as items are too small for Spark to keep them apart.
+    spread = work.repartition(parts or int(spark.conf.get("spark.sql.shuffle.partitions")), *key)
     path = path or scratch_path(spark, "replies")
     task = _task(fn, list(key), to_arrow_schema(schema), attempts)
     spread.mapInArrow(task, schema).write.mode("overwrite").parquet(path)

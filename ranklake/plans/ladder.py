@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from ranklake.operators.grid import work_grid
 from ranklake.operators.joins import lookup, remaining
-from ranklake.operators.normalize import normalize_entries, outcome
-from ranklake.operators.numbering import rows_per_file
-from ranklake.schemas import FLUSH_BYTES, LADDER
-from ranklake.sinks.tables import conform, write_partitioned
+from ranklake.operators.normalize import is_done, normalize_entries, outcome
+from ranklake.schemas import DAY, LADDER
+from ranklake.session import settle
+from ranklake.sinks.tables import conform, overwrite_partitions
 from ranklake.sources.pages import explode_entries, key_outcomes, pages_until_empty
 
 CELL = ["platform", "tier", "division"]
-FOLDERS = ["region", "platform", "tier", "division"]
+FOLDERS = [DAY, "region", "platform", "tier", "division"]
 
 
 def ladder(pages: DataFrame, apex: DataFrame, platforms: DataFrame, ingested_at) -> DataFrame:
@@ -31,7 +31,7 @@ def ladder(pages: DataFrame, apex: DataFrame, platforms: DataFrame, ingested_at)
 
 def ladder_outcomes(pages: DataFrame, apex: DataFrame) -> DataFrame:
     """One outcome per work item, for the resume plan."""
-    columns = [*CELL, "page", "status", "retry_after"]
+    columns = [*CELL, "page", "status", "retry_after", "entries"]
     return key_outcomes(pages.select(*columns).unionByName(apex.withColumn("page", F.lit(1)).select(*columns)), CELL)
 
 
@@ -42,10 +42,22 @@ def ladder_work(platforms: DataFrame, outcomes: DataFrame | None = None) -> Data
     return left.withColumn("item", F.concat_ws("/", "platform", "tier", F.coalesce("division", F.lit("all"))))
 
 
+def finished_cells(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """The pages of the work items that were read to the end."""
+    done = outcomes.where(is_done()).select(*[F.col(c).alias(f"_done_{c}") for c in CELL])
+    same = [F.col(c).eqNullSafe(F.col(f"_done_{c}")) for c in CELL]
+    return pages.join(done, same, "left_semi")
+
+
 def collect_ladder(
-    pages: DataFrame, apex: DataFrame, platforms: DataFrame, out: str, ingested_at
+    pages: DataFrame, apex: DataFrame, platforms: DataFrame, out: str, ingested_at, rows_per_file: int = 0
 ) -> DataFrame:
-    """Append the ladder rows to ``out`` and return the outcome of each work item."""
-    rows = ladder(pages, apex, platforms, ingested_at)
-    write_partitioned(rows, out, FOLDERS, rows_per_file(FLUSH_BYTES["ladder"]))
-    return ladder_outcomes(pages, apex)
+    """Write the ladder rows of the finished work items to ``out``; return the outcome of each item.
+
+    An item is written whole, in the folder of its day, or not at all. A repeated run replaces its own rows, and a
+    resumed one adds the items that were left. Files grow to Spark's advised size unless ``rows_per_file`` is given.
+    """
+    outcomes = settle(ladder_outcomes(pages, apex), "ladder-outcomes")
+    rows = ladder(finished_cells(pages, outcomes), finished_cells(apex, outcomes), platforms, ingested_at)
+    overwrite_partitions(rows.withColumn(DAY, F.to_date("_ingested_at")), out, FOLDERS, rows_per_file)
+    return outcomes

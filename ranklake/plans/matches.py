@@ -12,7 +12,7 @@ from ranklake.functions.dates import with_partition_date
 from ranklake.functions.hashing import assign_shard
 from ranklake.operators.dedup import best_per_key
 from ranklake.operators.filters import pending, valid_key
-from ranklake.operators.normalize import classify, is_done, normalize_match
+from ranklake.operators.normalize import classify, is_done, normalize_match, parse_match
 from ranklake.operators.numbering import rows_per_file
 from ranklake.operators.propagate import propagate
 from ranklake.operators.summary import resume_plan, shard_counts
@@ -25,6 +25,7 @@ from ranklake.sinks.tables import conform, newest_state, write_partitioned, writ
 from ranklake.sources.parquet import fill_defaults, scan_table, scan_with_source
 
 FOLDERS = ["region", "platform", "year", "month", "date"]
+DAYS = ("year", "month", "date")
 
 
 def plan_matches(listings: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -58,14 +59,20 @@ def fetch_replies(work: DataFrame, fn: Callable, parts: int | None = None) -> Da
 
 
 def judge_replies(work: DataFrame, replies: DataFrame) -> DataFrame:
-    """Work items with their reply and its outcome. A reply that is no JSON is an error.
+    """Work items with their reply, parsed, and its outcome. A reply that is no JSON object is an error.
 
-    Of several replies to one item, the one with the lowest status counts.
+    Of several replies to one item, the one with the lowest status counts. An item without a reply is pending.
     """
     one = best_per_key(replies, ["match_id"], [F.asc_nulls_last("status"), "body"])
-    judged = classify(work.join(one.select("match_id", "status", "retry_after", "body"), "match_id"))
-    broken = (F.col("outcome") == "ok") & F.try_parse_json("body").isNull()
-    return judged.withColumn("outcome", F.when(broken, "error").otherwise(F.col("outcome")))
+    one = one.select("match_id", "status", "retry_after", "body", F.lit(True).alias("_replied"))
+    judged = parse_match(classify(work.join(one, "match_id", "left")))
+    broken = F.col("body").isNull() | F.col("_doc._broken").isNotNull()
+    outcome = (
+        F.when(F.col("_replied").isNull(), "pending")
+        .when((F.col("outcome") == "ok") & broken, "error")
+        .otherwise(F.col("outcome"))
+    )
+    return judged.withColumn("outcome", outcome).drop("body", "_replied")
 
 
 def match_rows(judged: DataFrame, ingested_at) -> DataFrame:
@@ -93,8 +100,13 @@ def run_matches(
     state = newest_state(spark, state_root, MATCH_STATE, run)
     judged = settle(judge_replies(match_work(state), conform(replies, MATCH_REPLIES)), "match-replies")
     rows = match_rows(judged, ingested_at)
-    known = scan_table(spark, table, MATCHES).select("match_id")
-    rows = rows.join(known, "match_id", "left_anti").select(*rows.columns)
+    # A match is stored under its day, so only the days of the new rows are read.
+    dated = StructType([*MATCHES.fields])
+    for part in DAYS:
+        dated = dated.add(part, "integer")
+    days = settle(rows.select(*DAYS).distinct(), "match-days")
+    known = scan_table(spark, table, dated).select("match_id", *DAYS).join(days, list(DAYS), "left_semi")
+    rows = rows.join(known, ["match_id", *DAYS], "left_anti").select(*rows.columns)
     write_partitioned(rows, table, FOLDERS, rows_per_file(FLUSH_BYTES["matches"]))
     moved = advance(state, judged, "match_id", {"is_ingested": 1}, ["puuid", "source_file_path"])
     done = judged.where(is_done()).select("match_id")

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ranklake.functions.hashing import assign_shard
 from ranklake.operators.dedup import dedup_best
 from ranklake.operators.filters import valid_key
 from ranklake.operators.joins import merge_state
 from ranklake.operators.summary import shard_counts
-from ranklake.schemas import LADDER, PLAYER_STATE, SHARDS
+from ranklake.schemas import DAY, LADDER_STORED, PLAYER_STATE, SHARDS
 from ranklake.sinks.tables import conform, newest_state, write_state
 from ranklake.sources.parquet import last_shard_wins, scan_table
 
@@ -32,9 +33,15 @@ def plan_players(
     return assign_shard(merge_state(best, state, key), key, shards)
 
 
-def run_players(spark: SparkSession, ladder_path: str, state_root: str, run: str, shards: int = SHARDS) -> DataFrame:
-    """Write the player state of ``run`` and return its rows per shard."""
+def run_players(
+    spark: SparkSession, ladder_path: str, state_root: str, run: str, shards: int = SHARDS, days: list | None = None
+) -> DataFrame:
+    """Write the player state of ``run`` and return its rows per shard.
+
+    ``days`` names the days of ingestion to read, all by default; the folders of others are not opened.
+    """
     state = last_shard_wins(newest_state(spark, state_root, PLAYER_STATE, run), "puuid")
-    planned = plan_players(scan_table(spark, ladder_path, LADDER), state, shards)
+    rows = scan_table(spark, ladder_path, LADDER_STORED)
+    planned = plan_players(rows if days is None else rows.where(F.col(DAY).isin(days)), state, shards)
     path = write_state(conform(planned, PLAYER_STATE), state_root, run)
     return shard_counts(scan_table(spark, path, PLAYER_STATE), shards)

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 from ranklake.functions.dates import as_timestamp
 from ranklake.operators.joins import new_files
 from ranklake.plans import ladder, match_ids, matches
-from ranklake.schemas import FILE_LEDGER, LADDER, MATCHES, REGISTERED_TABLES
+from ranklake.schemas import FILE_LEDGER, LADDER_STORED, MATCHES, REGISTERED_TABLES
 from ranklake.session import path_exists
 from ranklake.sinks.tables import append, conform
 from ranklake.sources.files import file_stats, list_files
@@ -23,20 +23,32 @@ def ensure_table(spark: SparkSession, name: str, schema: StructType, by: list[st
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {folders}LOCATION '{path}'")
 
 
-def refresh_table(spark: SparkSession, name: str, by: list[str]) -> None:
-    """Let the catalog see folders and files that were added outside of it."""
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def refresh_table(spark: SparkSession, name: str, by: list[str], files: DataFrame) -> None:
+    """Let the catalog see the folders of ``files`` (``file_path``), which were added outside of it."""
     if by:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+        values = [F.url_decode(F.regexp_extract("file_path", rf"/{c}=([^/]*)/", 1)).alias(c) for c in by]
+        found = files.select(*values).distinct().collect()  # the folders of one run
+        for at in range(0, len(found), 100):
+            folders = " ".join(f"PARTITION ({', '.join(_equal(c, row[c]) for c in by)})" for row in found[at : at + 100])
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {folders}")
     spark.catalog.refreshTable(name)
 
 
+def _equal(column: str, value: str) -> str:
+    quoted = "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"`{column}` = {'NULL' if value == _NULL_FOLDER else quoted}"
+
+
 def lake_tables(lake: str, database: str = "default") -> list[tuple]:
     """The three tables of the lake, in the form that ``sync`` takes."""
     dated = StructType([*MATCHES.fields])
     for name in ("year", "month", "date"):
         dated = dated.add(name, "integer")
     kinds = {
-        "league": (LADDER, ladder.FOLDERS),
+        "league": (LADDER_STORED, ladder.FOLDERS),
         "match_id": (match_ids.STORED, match_ids.FOLDERS),
         "match": (dated, matches.FOLDERS),
     }
@@ -93,7 +105,8 @@ def sync(spark: SparkSession, ledger_path: str, tables: list[tuple], registered_
         snapshot = before
         if path_exists(spark, path):
             snapshot = register(spark, ledger_path, name, path, registered_at)
-            refresh_table(spark, name, by)
+            new = (F.col("table_name") == name) & (F.col("snapshot_id") > before)
+            refresh_table(spark, name, by, read_ledger(spark, ledger_path).where(new))
         out.append((name, snapshot, snapshot > before))
     runs = spark.createDataFrame(out, "table_name string, snapshot_id long, changed boolean")
     added = read_ledger(spark, ledger_path).groupBy("table_name", "snapshot_id").agg(F.count("*").alias("files"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ranklake.operators.joins import remaining, resume_work
 from ranklake.operators.numbering import split_even
 from ranklake.operators.summary import resume_plan
+from ranklake.schemas import RETRY_MARGIN_SECONDS
 from ranklake.sinks import resume, staging
 
 
@@ -26,8 +27,9 @@ def put_aside(
 ) -> DataFrame:
     """Save what a rate-limited run leaves: its items, split evenly over ``parts``, and its output so far.
 
-    Returns the resume plan, whose delay is for the scheduler that starts the next run. A run that
-    was not rate-limited saves nothing.
+    Returns the resume plan, whose delay is for the scheduler that starts the next run; the ledger keeps
+    the wait as it was asked for, without the margin. A run that was not rate-limited saves nothing. Repeating
+    the call replaces what it saved.
     """
     spark = work.sparkSession
     plan = resume_plan(outcomes).first()
@@ -37,7 +39,7 @@ def put_aside(
             staged = staging.stage(output, f"{root}/staging", job_type, job_id)
         left = split_even(remaining(work, outcomes, key), parts, [item])
         rows = resume.resume_rows(
-            left, item, job_type, job_id, F.lit(plan["delay_seconds"]), saved_at, staged, shard
+            left, item, job_type, job_id, F.lit(plan["delay_seconds"] - RETRY_MARGIN_SECONDS), saved_at, staged, shard
         )
         resume.save_resume(rows, f"{root}/resume")
     return spark.createDataFrame([plan], resume_plan(outcomes).schema)

@@ -90,6 +90,9 @@ LADDER = _struct(
     "veteran boolean, inactive boolean, fresh_blood boolean, hot_streak boolean, "
     "region string, platform string, _ingested_at timestamp"
 )
+#: Stored rows have the day of ingestion as a folder, so that a day never touches the files of another.
+DAY = "ingested_on"
+LADDER_STORED = StructType([*LADDER.fields]).add(DAY, DateType())
 PLAYER_STATE = _struct("puuid string, last_read date, region string, platform string, shard_id int")
 ID_PAGES = _struct("puuid string, queue int, start long").add("ids", ArrayType(StringType()))
 MATCH_IDS = _struct(

@@ -17,9 +17,9 @@ def _path(root: str, job_type: str, job_id: str) -> str:
 
 
 def stage(df: DataFrame, root: str, job_type: str, job_id: str) -> str:
-    """Keep partial output, in the columns of the final output."""
+    """Keep partial output, in the columns of the final output. What the job staged before is replaced."""
     path = _path(root, job_type, job_id)
-    df.write.mode("append").parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return path
 
 

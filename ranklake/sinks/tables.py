@@ -19,9 +19,10 @@ def append(df: DataFrame, path: str, by: list[str] = ()) -> None:
     df.write.mode("append").partitionBy(*by).parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
+def overwrite_partitions(df: DataFrame, path: str, by: list[str], rows_per_file: int = 0) -> None:
     """Replace the partitions that ``df`` has rows for; leave the others."""
-    _grouped(df, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    writer = _grouped(df, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.option("maxRecordsPerFile", rows_per_file).partitionBy(*by).parquet(path)
 
 
 def _grouped(df: DataFrame, by: list[str]) -> DataFrame:

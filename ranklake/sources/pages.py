@@ -64,13 +64,23 @@ def explode_ids(pages: DataFrame, start: str = "start", ids: str = "ids", name:
     )
 
 
-def key_outcomes(pages: DataFrame, keys: list[str], page: str = "page") -> DataFrame:
-    """One outcome per key: that of its first failed page, else ``ok``."""
+def key_outcomes(pages: DataFrame, keys: list[str], page: str = "page", entries: str = "entries") -> DataFrame:
+    """One outcome per key: that of its first failed page, else ``ok``.
+
+    A page without entries ends the list of its key; what lies behind it is not judged. Pages that do
+    not carry their entries are all judged.
+    """
     judged = classify(pages)
     failed = F.col("outcome") != "ok"
-    return judged.groupBy(*keys).agg(
-        F.coalesce(F.min_by(F.when(failed, F.col("outcome")), F.when(failed, F.col(page))), F.lit("ok")).alias(
-            "outcome"
-        ),
-        F.max("retry_after_seconds").alias("retry_after_seconds"),
+    first = F.min(F.when(failed, F.struct(F.col(page).alias("page"), "outcome")))
+    empty = F.coalesce(F.size(entries), F.lit(0)) <= 0 if entries in pages.columns else F.lit(False)
+    last = F.min(F.when(~failed & empty, F.col(page)))
+    found = judged.groupBy(*keys).agg(
+        first.alias("_first"), last.alias("_last"), F.max("retry_after_seconds").alias("_wait")
+    )
+    unfinished = F.col("_first").isNotNull() & (F.col("_last").isNull() | (F.col("_first.page") < F.col("_last")))
+    return found.select(
+        *keys,
+        F.when(unfinished, F.col("_first.outcome")).otherwise(F.lit("ok")).alias("outcome"),
+        F.when(unfinished, F.col("_wait")).alias("retry_after_seconds"),
     )

@@ -49,7 +49,7 @@ def scan_with_source(spark: SparkSession, path: str, schema: StructType, partiti
 
 
 def scan_tolerant(
-    spark: SparkSession, path: str, schema: StructType, defaults: dict | None = None, skip_corrupt: bool = True
+    spark: SparkSession, path: str, schema: StructType, defaults: dict | None = None, skip_corrupt: bool = False
 ) -> DataFrame:
     """``scan`` where files may lack columns: these read as NULL, or as their default.
 

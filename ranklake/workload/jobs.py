@@ -10,8 +10,8 @@ from ranklake.functions.dates import as_timestamp
 from ranklake.operators import work
 from ranklake.operators.normalize import classify, is_done
 from ranklake.plans import ladder, match_ids, matches, players, suspend
-from ranklake.schemas import LADDER, MATCH_STATE, MATCHES, PLAYER_STATE
-from ranklake.session import scratch_path
+from ranklake.schemas import DAY, LADDER, LADDER_STORED, MATCH_STATE, MATCHES, PLAYER_STATE
+from ranklake.session import delete_path, scratch_path
 from ranklake.sinks import tables
 from ranklake.sources import parquet
 from ranklake.workload import Registry
@@ -41,13 +41,14 @@ def map_work(spark, sf_dir):
     )
 
 
-_LADDER = f"""WITH e AS (SELECT platform, tier, division, min(page) AS last FROM ({I.PAGES})
-          WHERE highest < 0 OR lowest < -900 GROUP BY ALL),
+_ENDS = f"""SELECT platform, tier, division, min(CASE WHEN highest < 0 AND lowest >= -900 THEN page END) AS empty_at,
+          min(CASE WHEN lowest < -900 THEN page END) AS failed_at FROM ({I.PAGES}) GROUP BY ALL"""
+_LADDER = f"""WITH e AS ({_ENDS}),
         r AS (SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey)
         SELECT {I.SQL_ENTRY_COLUMNS}, upper(p.tier) AS tier, p.division, r_name AS region, p.platform, {I.SQL_STAMP} AS _ingested_at
         FROM ({I.PAGE_ENTRIES}) p JOIN r ON n_name = p.platform
         LEFT JOIN e ON e.platform = p.platform AND e.tier = p.tier AND e.division = p.division
-        WHERE c_acctbal >= 0 AND (last IS NULL OR page < last)
+        WHERE c_acctbal >= 0 AND (empty_at IS NULL OR page < empty_at) AND (failed_at IS NULL OR failed_at > empty_at)
         UNION ALL
         SELECT s_name, '', '', CASE WHEN s_acctbal > 0 THEN CAST(floor(s_acctbal) AS INTEGER) ELSE 0 END, s_nationkey, 0,
           s_acctbal > 5000, false, false, false, 'CHALLENGER', 'all', r_name, r.n_name, {I.SQL_STAMP}
@@ -60,12 +61,30 @@ def ladder_job(spark, sf_dir):
     out = scratch_path(spark, "ladder")
     dim = I.nations(spark, sf_dir)
     ladder.collect_ladder(I.ladder_pages(spark, sf_dir), I.apex_pages(spark, sf_dir), dim, out, I.STAMP)
-    return parquet.scan_table(spark, out, LADDER)
+    return parquet.scan_table(spark, out, LADDER_STORED).drop(DAY)
+
+
+def _half_written(spark, path):
+    """Delete one file of a table, as if the job that wrote it had died on the way."""
+    files = parquet.scan_table(spark, path, LADDER_STORED).select(F.input_file_name().alias("f")).distinct()
+    delete_path(spark, files.orderBy("f").first()[0])
+
+
+@query(_LADDER)
+def ladder_job_repeated(spark, sf_dir):
+    """The ladder job three times: the second finds a file of the first missing, the third finds all written."""
+    out = scratch_path(spark, "ladder")
+    dim = I.nations(spark, sf_dir)
+    for again in range(3):
+        ladder.collect_ladder(I.ladder_pages(spark, sf_dir), I.apex_pages(spark, sf_dir), dim, out, I.STAMP)
+        if not again:
+            _half_written(spark, out)
+    return parquet.scan_table(spark, out, LADDER_STORED).drop(DAY)
 
 
 @query(
-    f"""WITH p AS ({I.PAGES}), o AS (SELECT platform, tier, division, bool_or(lowest < -900) AS failed FROM p GROUP BY ALL)
-        SELECT platform, tier, division, CASE WHEN failed THEN 'transient' ELSE 'ok' END AS outcome FROM o
+    f"""SELECT platform, tier, division, CASE WHEN failed_at < coalesce(empty_at, 1e9) THEN 'transient' ELSE 'ok' END AS outcome
+        FROM ({_ENDS})
         UNION ALL SELECT DISTINCT n_name, 'challenger', NULL, 'ok' FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
 )
 def ladder_outcomes(spark, sf_dir):
@@ -171,8 +190,8 @@ _NEW_IDS = f"""WITH s AS (SELECT * FROM ({I.PLAYER_STATE}) WHERE (last_read IS N
         FROM g WHERE stopped = 0 AND place <= 1000 AND NOT stored"""
 
 
-def _run_ids(spark, sf_dir):
-    root, table = scratch_path(spark, "players"), scratch_path(spark, "match-ids")
+def _run_ids(spark, sf_dir, seeded=None):
+    root, table = scratch_path(spark, "players"), seeded or scratch_path(spark, "match-ids")
     _seed_players(spark, sf_dir, root)
     stored = hashing.assign_shard(I.known_ids(spark, sf_dir), "puuid").withColumns(
         {
@@ -182,7 +201,9 @@ def _run_ids(spark, sf_dir):
             "_ingested_at": as_timestamp("2024-01-01T00:00:00"),
         }
     )
-    tables.append(tables.conform(stored, match_ids.STORED), table, match_ids.FOLDERS)
+    stored = stored.withColumn(DAY, F.to_date("_ingested_at"))
+    if not seeded:
+        tables.append(tables.conform(stored, match_ids.STORED), table, match_ids.FOLDERS)
     ids = I.id_list(spark, sf_dir).withColumn("queue", F.when(F.col("queue") == "view", 420).otherwise(0))
     outcomes = _player_outcomes(spark, sf_dir)
     for run in ("2024-01-25", "2024-01-25"):  # the second run repeats the first and must add nothing
@@ -195,7 +216,19 @@ def match_id_job(spark, sf_dir):
     """Player state and landed id lists to new match ids, run twice."""
     table = _run_ids(spark, sf_dir)[1]
     fresh = parquet.scan_table(spark, table, match_ids.STORED)
-    return fresh.where(F.col("_ingested_at") == as_timestamp(I.STAMP))
+    return fresh.where(F.col("_ingested_at") == as_timestamp(I.STAMP)).drop(DAY)
+
+
+@query(_NEW_IDS)
+def match_id_job_half_written(spark, sf_dir):
+    """The match-id job after an attempt that died half-way through its append, state not moved."""
+    done = _run_ids(spark, sf_dir)[1]
+    own = F.col("_ingested_at") == as_timestamp(I.STAMP)
+    rows = parquet.scan_table(spark, done, match_ids.STORED)
+    table = scratch_path(spark, "match-ids")
+    tables.append(rows.where(~own | (F.xxhash64("puuid", "match_id") % 2 == 0)), table, match_ids.FOLDERS)
+    _, table = _run_ids(spark, sf_dir, table)
+    return parquet.scan_table(spark, table, match_ids.STORED).where(own).drop(DAY)
 
 
 @query(
@@ -225,6 +258,7 @@ def _listing_table(spark, sf_dir):
             F.min("l_returnflag").alias("platform"),
         )
         .withColumn("_ingested_at", as_timestamp(I.STAMP))
+        .withColumn(DAY, F.to_date("_ingested_at"))
     )
     stored = tables.conform(hashing.assign_shard(rows, "puuid"), match_ids.STORED)
     tables.write_partitioned(stored, path, match_ids.FOLDERS)

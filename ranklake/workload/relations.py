@@ -106,7 +106,8 @@ def mark_done(spark, sf_dir):
     f"""WITH l AS ({I.LISTINGS}), d AS ({I.DONE_MATCHES})
         SELECT match_id, puuid, part, line, source_file_path,
           CASE WHEN match_id IN (FROM d) THEN 1 ELSE is_ingested END AS is_ingested
-        FROM l WHERE source_file_path IN (SELECT source_file_path FROM l WHERE match_id IN (FROM d))"""
+        FROM l WHERE source_file_path IN
+          (SELECT source_file_path FROM l WHERE match_id IN (FROM d) AND is_ingested IS DISTINCT FROM 1)"""
 )
 def propagate_all(spark, sf_dir):
     rows, done = I.listings(spark, sf_dir), I.done_matches(spark, sf_dir)

@@ -220,7 +220,7 @@ def ensure_table(spark, sf_dir):
     for _ in range(2):
         registry.ensure_table(spark, name, docs.schema, ["lang"], path)
     tables.write_partitioned(docs, path, ["lang"])
-    registry.refresh_table(spark, name, ["lang"])
+    registry.refresh_table(spark, name, ["lang"], files.list_files(spark, path))
     return spark.table(name).groupBy("lang").agg(F.count("*").alias("rows"), F.sum("n_chars").alias("chars"))
 
 

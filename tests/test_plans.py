@@ -10,6 +10,7 @@ from ranklake.plans import ladder, match_ids, matches, players, registry
 from ranklake.schemas import (
     ENTRY,
     LADDER,
+    LADDER_STORED,
     LADDER_PAGES,
     MATCH_IDS,
     MATCH_REPLIES,
@@ -22,7 +23,7 @@ from ranklake.session import scratch_path
 from ranklake.sinks.tables import conform, newest_state, state_runs
 from ranklake.sources.parquet import scan_table
 
-AT = "2024-01-05T00:00:00"
+AT, NEXT = "2024-01-05T00:00:00", "2024-01-06T00:00:00"
 
 
 def entry(puuid, **more):
@@ -61,9 +62,7 @@ def test_ladder_job(spark, lake, rows):
     base, outcomes = lake
     stored = scan_table(spark, f"{base}/league", LADDER)
     assert rows(stored, "puuid", "tier", "division", "region", "platform", "hot_streak") == [
-        ("", "IRON", "IV", "sea", "vn2", False),
         ("p1", "GOLD", "I", "asia", "kr", False),
-        ("p1", "IRON", "IV", "sea", "vn2", True),
         ("p2", "GOLD", "I", "asia", "kr", False),
         ("p3", "MASTER", "all", "asia", "kr", False),
     ]
@@ -122,17 +121,17 @@ def test_match_jobs_from_ids_to_details(spark, lake, rows):
 
     # Same day again: the finished players are skipped, the other one is read now.
     ok = spark.createDataFrame([(p, "ok", None) for p in ("p1", "p2", "p3")], ok.schema)
-    match_ids.run_ids(spark, state, ids, ok, table, "2024-01-05c", "2024-01-05", AT)
+    match_ids.run_ids(spark, state, ids, ok, table, "2024-01-05c", "2024-01-05", "2024-01-05T09:00:00")
     assert stored_pairs(spark, table) == [("m1", "p1"), ("m2", "p1"), ("m2", "p2")]
 
     # Next day: only what is new since then, up to the first known id.
     ids = id_list(spark, {"p1": [("m3", late), ("m2", late), ("m9", late)]})
-    match_ids.run_ids(spark, state, ids, ok, table, "2024-01-06", "2024-01-06", AT)
+    match_ids.run_ids(spark, state, ids, ok, table, "2024-01-06", "2024-01-06", NEXT)
     want = [("m1", "p1"), ("m2", "p1"), ("m2", "p2"), ("m3", "p1")]
     assert stored_pairs(spark, table) == want
     # The same run repeated adds nothing and leaves the same state.
     before = rows(newest_state(spark, state, PLAYER_STATE))
-    match_ids.run_ids(spark, state, ids, ok, table, "2024-01-06", "2024-01-06", AT)
+    match_ids.run_ids(spark, state, ids, ok, table, "2024-01-06", "2024-01-06", NEXT)
     assert stored_pairs(spark, table) == want
     assert rows(newest_state(spark, state, PLAYER_STATE)) == before
 
@@ -168,8 +167,9 @@ def test_match_jobs_from_ids_to_details(spark, lake, rows):
 def test_match_job_with_last_scope_flags_one_source(spark, rows):
     base = scratch_path(spark, "last")
     table, root = f"{base}/matchID", f"{base}/state"
+    day = date(2024, 1, 5)
     listed = spark.createDataFrame(
-        [("m1", "p1", 0, "r", "k", None, 0), ("m1", "p2", 0, "r", "k", None, 1)], match_ids.STORED
+        [("m1", "p1", 0, "r", "k", None, 0, day), ("m1", "p2", 0, "r", "k", None, 1, day)], match_ids.STORED
     )
     listed.write.partitionBy(*match_ids.FOLDERS).parquet(table)
     matches.run_plan_matches(spark, table, root, "1")
@@ -179,6 +179,71 @@ def test_match_job_with_last_scope_flags_one_source(spark, rows):
     assert flags == [("p1", 0), ("p2", 1)]
 
 
+def test_odd_bodies_finish_and_unanswered_items_stay(spark, rows):
+    work = spark.createDataFrame([(m, "r", "k") for m in "abcdefgh"], "match_id string, region string, platform string")
+    deep = '{"info": {"teams": ' + "[" * 900 + "]" * 900 + "}}"
+    bodies = {"a": '{"info": {"queueId": 1, "queueId": 2}}', "b": deep, "c": '{"info": {"gameVersion": "' + "x" * 21_000_000 + '"}}'}
+    bodies |= {"d": "{broken", "e": None, "f": '{"info": {"queueId": "many"}}'}
+    replies = spark.createDataFrame([(m, 200, None, b) for m, b in bodies.items()] + [("g", 429, "2", None)], MATCH_REPLIES)
+    judged = matches.judge_replies(work, replies)
+    assert rows(judged, "match_id", "outcome") == [
+        ("a", "ok"), ("b", "ok"), ("c", "ok"), ("d", "error"), ("e", "error"), ("f", "ok"),
+        ("g", "rate_limited"), ("h", "pending"),
+    ]
+    found = matches.match_rows(judged, AT)
+    assert [r[0] for r in rows(found, "match_id", F.length("game_version"))] == ["a", "b", "c", "f"]
+    assert matches.resume_plan(judged).first()["remaining"] == 4
+
+
+def test_half_written_ids_are_completed(spark, lake, rows):
+    base = scratch_path(spark, "half")
+    state = spark.createDataFrame([("p1", date(2024, 1, 1), "asia", "kr", 0)], PLAYER_STATE)
+    state.write.partitionBy("shard_id").parquet(f"{base}/players/run=1")
+    late = 19_728 * 86_400_000
+    ids = id_list(spark, {"p1": [(f"m{i}", late) for i in range(5)]})
+    ok = spark.createDataFrame([("p1", "ok", None)], "puuid string, outcome string, retry_after_seconds double")
+    match_ids.run_ids(spark, f"{base}/players", ids, ok, f"{base}/whole", "2", "2024-01-06", NEXT)
+    whole = scan_table(spark, f"{base}/whole", match_ids.STORED)
+    assert whole.count() == 5
+    whole.where("match_id = 'm1'").write.partitionBy(*match_ids.FOLDERS).parquet(f"{base}/half")
+    match_ids.run_ids(spark, f"{base}/players", ids, ok, f"{base}/half", "2", "2024-01-06", NEXT)
+    assert stored_pairs(spark, f"{base}/half") == [(f"m{i}", "p1") for i in range(5)]
+
+
+def test_id_pages_to_lists_and_outcomes(spark, rows):
+    pages = spark.createDataFrame(
+        [
+            ("p1", 420, 0, ["m3", "m2"], 200, None), ("p1", 420, 2, ["m1"], 200, None), ("p1", 420, 3, [], 200, None),
+            ("p1", 420, 4, None, 503, None), ("p2", 420, 0, ["m9"], 200, None), ("p2", 420, 1, None, 429, "3"),
+        ],
+        "puuid string, queue int, start long, ids array<string>, status int, retry_after string",
+    )
+    assert rows(match_ids.listed_ids(pages), "puuid", "pos", "match_id") == [
+        ("p1", 0, "m3"), ("p1", 1, "m2"), ("p1", 2, "m1"), ("p2", 0, "m9"),
+    ]
+    assert rows(match_ids.page_outcomes(pages)) == [("p1", "ok", None), ("p2", "rate_limited", 3.0)]
+
+
+def test_a_second_day_leaves_the_files_of_the_first(spark, lake, rows):
+    base = scratch_path(spark, "days")
+    pages = spark.createDataFrame([("kr", "gold", "I", 1, 200, None, [entry("p1")])], LADDER_PAGES)
+    none = spark.createDataFrame([], LADDER_PAGES)
+    names = lambda: {r[0] for r in scan_table(spark, base, LADDER_STORED).select("_metadata.file_path").collect()}
+    ladder.collect_ladder(pages, none, platforms(spark), base, AT)
+    first = names()
+    ladder.collect_ladder(pages, none, platforms(spark), base, NEXT)
+    assert first < names()
+    assert scan_table(spark, base, LADDER_STORED).count() == 2
+
+
+def test_work_items_fill_the_tasks(spark):
+    work = spark.range(5000).select(F.col("id").alias("n"))
+    path = scratch_path(spark, "spread")
+    map_work(work, lambda item: (200, None, []), RECORD, ["n"], path=path)
+    tasks = spark.read.parquet(path).select("_metadata.file_path").distinct().count()
+    assert tasks == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def stored_pairs(spark, table):
     stored = scan_table(spark, table, match_ids.STORED).select("match_id", "puuid")
     return sorted(tuple(r) for r in stored.collect())
@@ -186,12 +251,12 @@ def stored_pairs(spark, table):
 
 def test_sync_registers_once(spark, lake, rows):
     base, _ = lake
-    known = [("league_sync", f"{base}/league", LADDER, ladder.FOLDERS)]
+    known = [("league_sync", f"{base}/league", LADDER_STORED, ladder.FOLDERS)]
     first = registry.sync(spark, f"{base}/ledger", known, AT).first()
     second = registry.sync(spark, f"{base}/ledger", known, AT).first()
     assert first["registered"] > 0 and first["snapshot_id"] == 1
     assert (second["registered"], second["snapshot_id"]) == (0, 1)
-    assert spark.table("league_sync").count() == 5
+    assert spark.table("league_sync").count() == 3
 
 
 def test_lake_tables_sync_before_all_folders_exist(spark, lake, rows):
@@ -199,7 +264,7 @@ def test_lake_tables_sync_before_all_folders_exist(spark, lake, rows):
     spark.sql("CREATE DATABASE IF NOT EXISTS lake")
     done = registry.sync(spark, f"{base}/lake-ledger", registry.lake_tables(base, "lake"), AT)
     assert {r["table_name"] for r in done.collect()} == {"lake.league", "lake.match_id", "lake.match"}
-    assert spark.table("lake.league").count() == 5
+    assert spark.table("lake.league").count() == 3
     for name in ("league", "match_id", "match"):
         spark.sql(f"DROP TABLE lake.{name}")
 

@@ -45,9 +45,9 @@ def test_tolerant_scan_skips_an_unreadable_file(spark, rows, tmp_path):
     spark.createDataFrame([("a", 1)], IDS).write.parquet(str(tmp_path / "good"))
     (tmp_path / "bad.parquet").write_bytes(b"this is no parquet file, but long enough to look at")
     schema = spark.createDataFrame([], IDS).schema
-    assert rows(parquet.scan_tolerant(spark, str(tmp_path), schema)) == [("a", 1)]
+    assert rows(parquet.scan_tolerant(spark, str(tmp_path), schema, skip_corrupt=True)) == [("a", 1)]
     with pytest.raises(Exception):
-        parquet.scan_tolerant(spark, str(tmp_path), schema, skip_corrupt=False).collect()
+        parquet.scan_tolerant(spark, str(tmp_path), schema).collect()
 
 
 def test_concat(spark, rows):

@@ -27,7 +27,7 @@ def test_put_aside_and_take_up(spark, rows):
     assert plan == ("RATE_LIMITED", 2, 5, 7.0)
     saved = resume.load_resume(spark, f"{root}/resume", "b", "j1")
     assert rows(saved, "part", "item") == [(0, "i2"), (0, "i3"), (0, "i4"), (1, "i5"), (1, "i6")]
-    assert saved.select("retry_after_seconds").distinct().collect()[0][0] == 7.0
+    assert saved.select("retry_after_seconds").distinct().collect()[0][0] == 5.0
     rest = suspend.take_up(work, root, "b", "j1", "item")
     assert rows(rest) == [(f"i{n}",) for n in range(2, 7)]
     assert rows(suspend.with_earlier_output(rest, root, "b", "j1")) == [("i0",)] + [(f"i{n}",) for n in range(2, 7)]
