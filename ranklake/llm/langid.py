@@ -7,6 +7,7 @@ its languages votes on the language. All machines are rows of one matrix of fixe
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -30,7 +31,8 @@ FAMILIES = {
     "malayic": ("id", "ms"),
 }
 UNKNOWN = "und"
-WIDTH = 1 << 13
+WIDTH_LOG = 12
+WIDTH = 1 << WIDTH_LOG
 PER_LANGUAGE = 400
 _PIECE = 1 << 20
 _LETTER = r"\p{L}"
@@ -52,7 +54,7 @@ def features(text: bytes) -> np.ndarray:
                 gram = gram[: len(gram) - 1] * np.uint32(0x01000193) ^ b[n - 1 :]
             own = gram[: min(_PIECE, len(gram))]  # those that start in this piece
             mixed = (own + np.uint32(n)) * np.uint32(0x9E3779B1)
-            counts += np.bincount(mixed >> np.uint32(32 - 13), minlength=WIDTH)
+            counts += np.bincount(mixed >> np.uint32(32 - WIDTH_LOG), minlength=WIDTH)
     root = np.sqrt(counts)
     return root / np.linalg.norm(root)
 
@@ -143,6 +145,14 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["lang"], pa.array(found, pa.binary())], names=["lang", "x"])
 
 
+def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = sorted((lang, x) for batch in batches for lang, x in zip(batch["lang"].to_pylist(), batch["x"].to_pylist()))
+    if rows:
+        x = np.frombuffer(b"".join(x for _, x in rows), np.float32).reshape(len(rows), WIDTH).astype(np.float64)
+        model = pickle.dumps(train(x, np.array([lang for lang, _ in rows])))
+        yield pa.RecordBatch.from_pydict({"model": pa.array([model], pa.binary())})
+
+
 def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model | None:
     """Fit on a bounded sample: at most ``per_language`` whole texts of each language, by the hash of their ids.
 
@@ -160,13 +170,12 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, doc_id: str = "doc_
     order = Window.partitionBy("lang").orderBy(F.pmod("_at", F.lit(1 << 40)), "_at", "_id")
     ids = near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language)
     chosen = F.broadcast(ids.select("lang", "_at").distinct())  # per_language rows of each language at most
-    sample = usable.join(chosen, ["lang", "_at"], "left_semi").select("lang", F.col("_text").cast("binary").alias("text"))
-    found = sample.mapInArrow(_features, "lang string, x binary").toPandas()
-    if not len(found):
-        return None
-    found = found.groupby("lang", sort=True).head(4 * per_language)  # rows that repeat an id may be more
-    x = np.frombuffer(b"".join(found["x"]), np.float32).reshape(len(found), WIDTH).astype(np.float64)
-    return train(x, found["lang"].to_numpy())
+    sample = usable.join(chosen, ["lang", "_at"], "left_semi").dropDuplicates(["lang", "_at"])
+    sample = sample.select("lang", F.col("_text").cast("binary").alias("text"))
+    # Features of bounded size, of a bounded sample: one task fits them, and only the model comes back.
+    fitted = sample.mapInArrow(_features, "lang string, x binary").repartition(1).mapInArrow(_fit, "model binary")
+    found = fitted.collect()
+    return pickle.loads(found[0].model) if found else None
 
 
 def identify(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
