@@ -14,7 +14,7 @@ _CUT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 _ASCII_PAIRS = tuple(c + " " for c in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f")
 _OTHER_PAIRS = tuple(chr(c) + " " for c in range(128, 0x3001) if chr(c).isspace())
 _MARKS = frozenset(".,;:!?|")
-_WORDS = 600_000
+_WORDS = 250_000
 
 
 def default_vocabulary() -> str:
