@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Runs of ASCII white space, and of anything else. Fixed values.
@@ -35,6 +35,12 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def first_of(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row of each key: used where rows of a key are the same, and already lie together."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
+    return rows.withColumn("_of_key", place).where("_of_key = 1").drop("_of_key")
+
+
 def dense_table(cells: DataFrame, size_log: int, dtype: str) -> np.ndarray:
     """An array of ``2 ** size_log`` numbers from rows of ``place`` and ``value``, each place once; 0 elsewhere.
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ranklake.llm.common import SPACES, present
+from ranklake.llm.common import SPACES, first_of, key_of, present
 from ranklake.session import settle
 
 PREFIX = 64
@@ -76,7 +76,12 @@ def mark_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", dig
 
 
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, one per distinct text. Same columns."""
-    numbered = settle(docs.withColumn("_at_row", F.monotonically_increasing_id()), "exact-docs")
-    gone = mark_copies(numbered, doc_id, text, digest_all=True, row="_at_row").where("not kept").select("_at_row")
-    return numbered.join(settle(gone, "exact-gone"), "_at_row", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that stay, one per distinct text. Same columns.
+
+    The texts are read once for their digests and once to be kept, and only then shuffled.
+    """
+    kept = mark_copies(docs, doc_id, text, digest_all=True).where("kept")
+    kept = settle(kept.select(key_of(F.col("doc_id")).alias("_id"), F.col("text_sha256").alias("_full")), "exact-kept")
+    full = F.sha2(normalised(text).cast("binary"), 256)
+    named = docs.withColumns({"_id": key_of(F.col(doc_id)), "_full": full})
+    return first_of(named.join(kept, ["_id", "_full"], "left_semi"), ["_id", "_full"]).select(*docs.columns)
