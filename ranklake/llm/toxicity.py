@@ -7,7 +7,8 @@ below it. So an expression that neither class has seen is equally likely to both
 only moves as far as its discounted count carries it.
 
 A text is scored by its log-likelihood ratio for each word and for the whole text, over its number of words, and by that of its
-most toxic words. A logistic fit, on labelled rows that the models have not counted, turns these into a probability.
+most toxic words. A logistic fit turns these into a probability. It is made with models that have not counted its rows; the
+models that score then count them too.
 """
 
 from __future__ import annotations
@@ -76,15 +77,17 @@ def grams(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found: list[list[np.ndarray]] = [[], []]
-        for text, toxic in zip(batch["text"], batch["toxic"].to_numpy()):
-            found[int(toxic)].extend(grams(p)[0] for p in _pieces(text.as_py()))
-        for toxic in (0, 1):
-            if found[toxic]:
-                keys, n = np.unique(np.concatenate(found[toxic]), return_counts=True)
-                zero = np.zeros(len(n), np.int64)
-                columns = [keys.astype(np.int64), *((zero, n) if toxic else (n, zero))]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "ordinary", "toxic"])
+        found: dict[tuple[int, bool], list[np.ndarray]] = {}
+        for text, *kind in zip(batch["text"], batch["toxic"].to_pylist(), batch["late"].to_pylist()):
+            found.setdefault(tuple(kind), []).extend(grams(p)[0] for p in _pieces(text.as_py()))
+        for (toxic, late), parts in found.items():
+            if parts:
+                keys, n = np.unique(np.concatenate(parts), return_counts=True)
+                columns = [np.zeros(len(n), np.int64) for _ in range(4)]
+                for own in (toxic, 2 + toxic)[: 1 + late]:
+                    columns[own] = n
+                arrays = [pa.array(keys.astype(np.int64)), *map(pa.array, columns)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["gram", "ordinary", "toxic", "late_ordinary", "late_toxic"])
 
 
 def _pieces(text: bytes) -> Iterator[bytes]:
@@ -140,6 +143,13 @@ def _in_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(place), batch["ratio"], batch["n"]], names=["place", "ratio", "n"])
 
 
+def _ratio_table(counts: DataFrame) -> np.ndarray:
+    """The log ratios by place; n-grams that share a place share their mean."""
+    ratios = log_ratios(counts).mapInArrow(_in_places, "place long, ratio double, n long")
+    mean = (F.sum(F.col("ratio") * F.col("n")) / F.sum("n")).cast("float").alias("value")
+    return dense_table(ratios.groupBy("place").agg(mean), PLACES_LOG, "f4")
+
+
 def measures(text: bytes, table: np.ndarray) -> list[float]:
     """Of a whole text: the log ratio per word, the largest of a word, the mean of the three largest, and log words."""
     total, words, best = 0.0, 0, np.empty(0)
@@ -199,7 +209,7 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     """Count labelled rows of the learning part (``crc32(id) mod 4`` other than 2), whole texts, and fit the scores.
 
     At most ``LABELLED_ROWS`` labels are used: all, if there are no more.
-    Rows of remainder 3 set the logistic fit, at most ``CALIBRATION_ROWS`` of them; the others are counted. A document
+    Rows of remainder 3 set the logistic fit, at most ``CALIBRATION_ROWS`` of them, with models of the others. A document
     with several labels is toxic if one says so; a null label is none. Without both classes the
     score is the share of toxic rows, or 0.
     """
@@ -211,13 +221,13 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         F.col(doc_id).alias("doc_id"), F.lower(present(text)).cast("binary").alias("text"), _part(F.col(doc_id)).alias("part")
     )
     known = texts.where("part <> 2").join(F.broadcast(marks), "doc_id")
-    counts = (
-        known.where("part <> 3").select("text", "toxic").mapInArrow(_counted, "gram long, ordinary long, toxic long")
-        .groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
-    )
-    ratios = log_ratios(settle(counts, "toxicity-counts")).mapInArrow(_in_places, "place long, ratio double, n long")
-    mean = (F.sum(F.col("ratio") * F.col("n")) / F.sum("n")).cast("float").alias("value")
-    table = dense_table(ratios.groupBy("place").agg(mean), PLACES_LOG, "f4")
+    columns = ("ordinary", "toxic", "late_ordinary", "late_toxic")
+    counts = known.select("text", "toxic", (F.col("part") == 3).alias("late")).mapInArrow(
+        _counted, "gram long, " + ", ".join(f"{c} long" for c in columns)
+    )
+    counts = settle(counts.groupBy("gram").agg(*(F.sum(c).alias(c) for c in columns)), "toxicity-counts")
+    early = [(F.col(c) - F.col(f"late_{c}")).alias(c) for c in columns[:2]]
+    table = _ratio_table(counts.select("gram", *early).where("ordinary + toxic > 0"))
 
     rows = known.where("part = 3").orderBy(F.xxhash64("doc_id")).limit(CALIBRATION_ROWS)
     shared = spark.sparkContext.broadcast(table)
@@ -228,6 +238,7 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         share = y.mean() if len(y) else 0.0
         return Model(table, np.zeros(4), np.ones(4), np.array([0.0] * 4 + [np.log((share + 1e-9) / (1 - share + 1e-9))]))
     center, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
+    table = _ratio_table(counts.select("gram", "ordinary", "toxic"))
     return Model(table, center, scale, logistic((x - center) / scale, y))
 
 
