@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from ranklake.functions.text import key_text
 from ranklake.operators.skew import hot_keys, join_unique
@@ -24,6 +25,9 @@ def numbered(df: DataFrame, order: list[str], by: list[str] = (), name: str = "r
     """
     keys = [*by, *order]
     groups = {f"_group{i}": key_text(c) for i, c in enumerate(by)}
+    # Rows that are equal in all keys may still go to several ranges, by a hash of the rest.
+    flat = [f.name for f in df.schema if isinstance(f.dataType, AtomicType)]
+    keys = [*keys, F.xxhash64(F.lit("tie"), *flat)]
     ordered = settle(df.repartitionByRange(*keys).sortWithinPartitions(*keys), "ordered")
     file = F.col("_metadata.file_path").alias("_file")
     rows = ordered.select(*df.columns, file, F.col("_metadata.row_index").alias("_index")).withColumns(groups)
