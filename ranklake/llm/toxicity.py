@@ -229,7 +229,8 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     early = [(F.col(c) - F.col(f"late_{c}")).alias(c) for c in columns[:2]]
     table = _ratio_table(counts.select("gram", *early).where("ordinary + toxic > 0"))
 
-    rows = known.where("part = 3").orderBy(F.xxhash64("doc_id")).limit(CALIBRATION_ROWS)
+    late = marks.where(_part(F.col("doc_id")) == 3).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS)
+    rows = texts.join(F.broadcast(settle(late, "toxicity-late")), "doc_id")
     shared = spark.sparkContext.broadcast(table)
     fit = rows.select("toxic", "text").mapInArrow(_measured(shared), "toxic int, measures array<double>").toPandas()
     y = fit["toxic"].to_numpy(float)
