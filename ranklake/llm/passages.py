@@ -44,6 +44,8 @@ BLOCK = 4
 INNER = LENGTH // BLOCK - 1
 #: Bytes of stretches that are ordered at once, and of one anchor before its strings are counted instead.
 BATCH, MOST = 1 << 20, LIMIT
+#: Stretches, or bytes of texts, that a task holds before it hands them on.
+_HELD, _HELD_BYTES = 50_000, 16 << 20
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
 
 
@@ -110,17 +112,23 @@ def _digest(stretch: bytes) -> int:
 
 
 def _contents(table):
-    """Stretches and how often each occurs in the batch."""
+    """Stretches and how often each occurs in some of the texts."""
+
+    def counted(found: Counter) -> pa.RecordBatch:
+        anchors, stretch, at = zip(*found)
+        columns = [pa.array(anchors), pa.array(map(_digest, stretch)), pa.array(at), pa.array(found.values()), pa.array(stretch, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["anchor", "digest", "at", "n", "bytes"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter = Counter()
         for batch in batches:
-            found: Counter = Counter()
             for text in batch["text"]:
                 found.update((a, b, at) for a, _, b, at in _marked_stretches(text.as_py(), table.value))
-            if found:
-                anchors, stretch, at = zip(*found)
-                columns = [pa.array(anchors), pa.array(map(_digest, stretch)), pa.array(at), pa.array(found.values()), pa.array(stretch, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["anchor", "digest", "at", "n", "bytes"])
+                if len(found) > _HELD:
+                    yield counted(found)
+                    found.clear()
+        if found:
+            yield counted(found)
 
     return run
 
@@ -285,10 +293,20 @@ def _counted_strings(rows: DataFrame) -> DataFrame:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    out: list[list] = [[], [], [], [], []]
+
+    def emit() -> pa.RecordBatch:
+        digests = pa.array([hashlib.sha256(k).hexdigest() for k in out[4]])
+        arrays = [*(pa.array(c, pa.int64()) for c in out[:4]), digests, pa.array(out[4], pa.binary())]
+        done = pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+        for c in out:
+            c.clear()
+        return done
+
     for batch in batches:
-        out: list[list] = [[], [], [], []]
-        for text, found in zip(batch["text"], batch["found"].to_pylist()):
-            text = text.as_py()
+        held = 0
+        for row, text, found in zip(batch["id"].to_pylist(), batch["text"], batch["found"]):
+            text, found = text.as_py(), found.as_py()
             edge = np.zeros(len(text) + 1, np.int32)
             for part in found or ():
                 for a, b in zip(part["spans"][::2], part["spans"][1::2]):
@@ -296,13 +314,14 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     edge[part["start"] + b - 1 + LENGTH] -= 1
             gone = np.cumsum(edge)[:-1] > 0
             kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-            out[0].append(len(text))
-            out[1].append(int(gone.sum()))
-            out[2].append(len(_spans(gone)) // 2)
-            out[3].append(kept)
-        digests = pa.array([hashlib.sha256(k).hexdigest() for k in out[3]])
-        arrays = [batch["id"], *(pa.array(c, pa.int64()) for c in out[:3]), digests, pa.array(out[3], pa.binary())]
-        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+            for c, v in zip(out, (row, len(text), int(gone.sum()), len(_spans(gone)) // 2, kept)):
+                c.append(v)
+            held += len(kept)
+            if held > _HELD_BYTES:
+                yield emit()
+                held = 0
+        if out[0]:
+            yield emit()
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
