@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ranklake.llm.common import dense_table, present
 from ranklake.session import settle
@@ -28,9 +29,8 @@ ORDER = 7
 DISCOUNT = 0.75
 #: Log ratios are handed to the tasks in a table of so many places (a power of two), whatever the number of n-grams.
 PLACES_LOG = 22
-#: At most so many labelled rows are learnt from, by the hash of their ids, so that the labels can be sent to the
-#: texts instead of the texts to the labels; and at most so many of them set the logistic fit.
-LABELLED_ROWS, CALIBRATION_ROWS = 250_000, 20_000
+#: At most so many labelled rows, by the hash of their ids, set the logistic fit. All are counted.
+CALIBRATION_ROWS = 20_000
 THRESHOLD = 0.3
 _PIECE = 1 << 20
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -75,11 +75,23 @@ def grams(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return window[1:] & _MASKS[reach], starts
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one, for the shuffle to the labels, with their sizes."""
+    codec = pa.Codec("zstd")
+    for batch in batches:
+        texts = [t.as_py() for t in batch["text"]]
+        packed = pa.array([codec.compress(t, asbytes=True) for t in texts], pa.binary())
+        arrays = [batch["doc_id"], batch["late"], packed, pa.array([len(t) for t in texts], pa.int64())]
+        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "late", "text", "size"])
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    codec = pa.Codec("zstd")
     for batch in batches:
         found: dict[tuple[int, bool], list[np.ndarray]] = {}
-        for text, *kind in zip(batch["text"], batch["toxic"].to_pylist(), batch["late"].to_pylist()):
-            found.setdefault(tuple(kind), []).extend(grams(p)[0] for p in _pieces(text.as_py()))
+        for packed, size, *kind in zip(*(batch[c].to_pylist() for c in ("text", "size", "toxic", "late"))):
+            text = codec.decompress(packed, size, asbytes=True)
+            found.setdefault(tuple(kind), []).extend(grams(p)[0] for p in _pieces(text))
         for (toxic, late), parts in found.items():
             if parts:
                 keys, n = np.unique(np.concatenate(parts), return_counts=True)
@@ -206,9 +218,9 @@ def _measured(table):
 
 
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Model:
-    """Count labelled rows of the learning part (``crc32(id) mod 4`` other than 2), whole texts, and fit the scores.
+    """Count all labelled rows of the learning part (``crc32(id) mod 4`` other than 2), whole texts, and fit the scores.
 
-    At most ``LABELLED_ROWS`` labels are used: all, if there are no more.
+    Texts meet their labels in a shuffle, compressed; only the labels of a partition are held in memory.
     Rows of remainder 3 set the logistic fit, at most ``CALIBRATION_ROWS`` of them, with models of the others. A document
     with several labels is toxic if one says so; a null label is none. Without both classes the
     score is the share of toxic rows, or 0.
@@ -216,13 +228,15 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     spark = docs.sparkSession
     usable = labels.where(F.col("toxic").isNotNull() & (_part(F.col("doc_id")) != 2))
     marks = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    marks = settle(marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED_ROWS), "toxicity-labels")
+    marks = settle(marks, "toxicity-labels")
     texts = docs.select(
         F.col(doc_id).alias("doc_id"), F.lower(present(text)).cast("binary").alias("text"), _part(F.col(doc_id)).alias("part")
     )
-    known = texts.where("part <> 2").join(F.broadcast(marks), "doc_id")
+    learning = texts.where("part <> 2").select("doc_id", (F.col("part") == 3).alias("late"), "text")
+    packed = learning.mapInArrow(_packed, StructType([*learning.schema, StructField("size", LongType())]))
+    known = packed.join(marks.hint("shuffle_hash"), "doc_id")
     columns = ("ordinary", "toxic", "late_ordinary", "late_toxic")
-    counts = known.select("text", "toxic", (F.col("part") == 3).alias("late")).mapInArrow(
+    counts = known.select("text", "size", "toxic", "late").mapInArrow(
         _counted, "gram long, " + ", ".join(f"{c} long" for c in columns)
     )
     counts = settle(counts.groupBy("gram").agg(*(F.sum(c).alias(c) for c in columns)), "toxicity-counts")

@@ -105,6 +105,18 @@ def test_toxic_words_are_learnt(spark):
     assert toxicity.score(docs.limit(0), nothing).collect() == []
 
 
+def test_all_labelled_rows_are_counted(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "ab cd") for i in range(400)] + [(5, "ab cd")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int")
+    seen, plain = [], toxicity.log_ratios
+    monkeypatch.setattr(toxicity, "LABELLED_ROWS", 20, raising=False)
+    monkeypatch.setattr(toxicity, "CALIBRATION_ROWS", 20)
+    monkeypatch.setattr(toxicity, "log_ratios", lambda c: (seen.append(c.selectExpr("sum(ordinary + toxic)").first()[0]), plain(c))[1])
+    toxicity.learn(docs, labels)
+    counted = docs.where("doc_id < 300 AND crc32(cast(cast(doc_id AS string) AS binary)) % 4 <> 2").count()
+    assert seen[-1] == 6 * counted and counted > 200
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the benchmark tables")
 def test_held_out_languages(spark):
     found = q.op9_langid(spark, FOLDER)
