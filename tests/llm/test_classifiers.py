@@ -105,6 +105,38 @@ def test_toxic_words_are_learnt(spark):
     assert toxicity.score(docs.limit(0), nothing).collect() == []
 
 
+@pytest.mark.parametrize("held", [1 << 22, 40, 0])
+def test_measures_against_plain(spark, monkeypatch, held):
+    texts = [(0, "the cat sat on the mat"), (0, "the dog ate the cat"), (1, "the idiot cat"), (1, "idiot idiot dog")]
+    count = [Counter(), Counter()]
+    for toxic, t in texts:
+        count[toxic].update(plain_grams(t))
+    number = lambda g: int.from_bytes(g.encode(), "big")
+    every = sorted(set(count[0]) | set(count[1]))
+    frame = spark.createDataFrame([(number(g), count[0][g], count[1][g]) for g in every], "gram long, ordinary long, toxic long")
+    exact = {r.gram: r.ratio for r in toxicity.log_ratios(frame).collect()}
+
+    def ratio(g):
+        if number(g) in exact:
+            return exact[number(g)]
+        kept_back = []
+        for c in count:
+            after = [n for h, n in c.items() if h[:-1] == g[:-1]]
+            kept_back.append(toxicity.DISCOUNT * len(after) / sum(after) if after else 1.0)
+        return math.log(kept_back[1] / kept_back[0])
+
+    asked = ["the idiot sat", "", "then idiots dogged catty idiots zebra then", "idiotic", "the the the", "aaaaaaaaaa the caaaaaaaaat"]
+    monkeypatch.setattr(toxicity, "HELD", held)
+    model = toxicity.ratios(frame)
+    assert (model.every is None) == (held > 1000) and len(model.grams) <= held
+    rows = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string").selectExpr("doc_id", "cast(text AS binary) AS text")
+    found = {r.doc_id: r.measures for r in toxicity.measured(rows, model).collect()}
+    for i, text in enumerate(asked):
+        sums = sorted((sum(map(ratio, plain_grams(w))) for w in text.split()), reverse=True)
+        n = len(sums)
+        assert found[i] == pytest.approx([sum(sums) / max(n, 1), sums[0] if n else 0, sum(sums[:3]) / 3, math.log1p(n)])
+
+
 def test_all_labelled_rows_are_counted(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "ab cd") for i in range(400)] + [(5, "ab cd")], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int")
