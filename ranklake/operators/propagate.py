@@ -39,18 +39,21 @@ def flag_listings(
     scope: str = "all",
     order: list[str] = (),
     hot: DataFrame | None = None,
+    last: DataFrame | None = None,
 ) -> DataFrame:
     """Set ``is_ingested`` to 1 on the listings of done ids.
 
     Scope ``all`` flags every listing. Scope ``last`` flags an id only in the source
-    of its last listing in ``order``, whose first column names the source.
+    of its last listing in ``order``, whose first column names the source. Give ``last``
+    (``last_listings`` of the whole table) where ``listings`` are only a part of it.
     """
     if scope == "all":
         return mark(listings, done, key, {"is_ingested": 1}, spread, hot)
     if scope != "last" or not order:
         raise ValueError("scope must be 'all', or 'last' with an order")
     source = order[0]
-    last = last_listings(listings, done, key, list(order), list(order))
+    if last is None:
+        last = last_listings(listings, done, key, list(order), list(order))
     chosen = last.select(key, source).withColumn("_last", F.lit(True))
     flagged = join_unique(listings, chosen, [key, source], "left", spread)
     new = F.when(F.col("_last"), F.lit(1)).otherwise(F.col("is_ingested")).cast("int")
@@ -73,14 +76,15 @@ def flag_touched(
     small enough, and then prunes the folders that are read. The hot keys serve both passes.
     """
     hot = settle(hot_keys(listings, [key]), "hot-keys")
+    last = None
     if scope == "last":
-        found = last_listings(listings, done, key, [*order, "is_ingested", *by], list(order))
-        touched = found.where(~F.col("is_ingested").eqNullSafe(1)).groupBy(*by).agg(F.count("*").alias("hits"))
+        last = settle(last_listings(listings, done, key, [*order, "is_ingested", *by], list(order)), "last-listings")
+        touched = last.where(~F.col("is_ingested").eqNullSafe(1)).groupBy(*by).agg(F.count("*").alias("hits"))
     else:
         touched = touched_partitions(listings, done, key, by, spread, hot)
     touched = settle(touched, "touched")
     affected = listings.join(touched.where("hits > 0").select(*by), by, "left_semi").select(*listings.columns)
-    return flag_listings(affected, done, key, spread, scope, order, hot)
+    return flag_listings(affected, done, key, spread, scope, order, hot, last)
 
 
 def propagate(

@@ -117,3 +117,15 @@ def test_touched_partitions_prune_the_second_pass(spark):
     flagged = propagate.flag_touched(spark.read.parquet(path), done, "match_id", ["shard_id"], ["is_ingested"])
     assert flagged.count() == 100 and flagged.where("is_ingested = 1").count() == 2
     assert "dynamicpruning" in flagged._jdf.queryExecution().toString().lower()
+
+
+def test_last_scope_with_partly_flagged_folders(spark, rows):
+    from ranklake.operators import propagate
+
+    listings = spark.createDataFrame(
+        [("m", "a", 1, 1, 0), ("n", "a", 2, 1, 0), ("m", "b", 1, 2, 1)],
+        "match_id string, source string, line int, shard_id int, is_ingested int",
+    )
+    done = spark.createDataFrame([("m",), ("n",)], "match_id string")
+    flagged = propagate.flag_touched(listings, done, "match_id", ["shard_id"], ["line"], "last", ["source", "line"])
+    assert rows(flagged, "match_id", "source", "is_ingested") == [("m", "a", 0), ("n", "a", 1)]
