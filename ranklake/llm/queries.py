@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranklake.llm import chat, exact, langid, mixing, packing, passages, simhash, topk, toxicity, warc
+from ranklake.llm import chat, counts, exact, langid, mixing, packing, passages, simhash, topk, toxicity, warc
 from ranklake.session import scratch_path
 from ranklake.workload import Registry
 
@@ -158,3 +158,8 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op8_passages(spark: SparkSession, folder: str) -> DataFrame:
     return passages.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
+@query()
+def op11_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return counts.count_tokens(table(spark, folder, "documents"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from functools import cache
 
 import numpy as np
@@ -30,12 +31,40 @@ def _byte_names() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+@cache
+def added(path: str) -> dict[str, int]:
+    """The added tokens of a vocabulary file with their ids. Each stands for itself wherever a text holds it."""
+    with open(path, encoding="utf-8") as file:
+        said = json.load(file)["added_tokens"]
+    for token in said:
+        if any(token[k] for k in ("single_word", "lstrip", "rstrip")):
+            raise ValueError(f"{path}: {token['content']} takes in what stands beside it")
+    return {t["content"]: t["id"] for t in said}
+
+
+@cache
+def _added_pattern(path: str) -> re.Pattern:
+    return re.compile("|".join(map(re.escape, sorted(added(path), key=len, reverse=True))) or r"(?!)")
+
+
+def between(text: str, path: str) -> tuple[list[str], list[str]]:
+    """The stretches of a text between added tokens, and the added tokens between them."""
+    pattern = _added_pattern(path)
+    found = pattern.findall(text)
+    return (pattern.split(text), found) if found else ([text], found)
+
+
+def cuts_at_spaces(text: str) -> bool:
+    """Whether a byte-level vocabulary cuts the text before each space: no white space stands before one."""
+    return not any(pair in text for pair in (_ASCII_PAIRS if text.isascii() else _ASCII_PAIRS + _OTHER_PAIRS))
+
+
 @cache
 def encoder(path: str) -> tiktoken.Encoding:
     """An encoder for the vocabulary file. Its merges must be listed in the order of the ids they make."""
     with open(path, encoding="utf-8") as file:
         said = json.load(file)
-    special = {t["content"] for t in said["added_tokens"]}
+    special = set(added(path))
     names, vocabulary = _byte_names(), said["model"]["vocab"]
     made = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in said["model"]["merges"]]
     if made != sorted(made):
@@ -73,13 +102,19 @@ def _words(path: str) -> tuple[_Words, _Words]:
 
 
 def token_bytes(text: str, path: str) -> bytes:
-    """The ids of a whole text; strings of special tokens in it are ordinary text.
+    """The ids of a whole text, as little-endian 32-bit integers; an added token in it is its own id."""
+    stretches, marks = between(text, path)
+    out = _stretch_bytes(stretches[0], path)
+    for mark, stretch in zip(marks, stretches[1:]):
+        out += added(path)[mark].to_bytes(4, "little") + _stretch_bytes(stretch, path)
+    return out
+
 
-    A cut always falls between a character and a space after it, unless that is white space too.
+def _stretch_bytes(text: str, path: str) -> bytes:
+    """A cut always falls between a character and a space after it, unless that is white space too.
     So where spaces stand alone, the ids of a text are those of its words, in order.
     """
-    pairs = _ASCII_PAIRS if text.isascii() else _ASCII_PAIRS + _OTHER_PAIRS
-    if any(pair in text for pair in pairs):
+    if not cuts_at_spaces(text):
         return np.array(encoder(path).encode_ordinary(text), "<u4").tobytes()
     first, later = _words(path)
     words = text.split(" ")
