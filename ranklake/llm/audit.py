@@ -9,56 +9,75 @@ Orders are put together from these counts.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable, Iterator
 from itertools import permutations
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ranklake.llm.common import WORD, present
+from ranklake.llm.common import present
 from ranklake.session import settle
 
 FEW_WORDS = 200
 MOST_CAPITALS = 3
-#: Characters that no text should hold. Fixed values.
-SYMBOLS = r"[#$%&*|]"
+#: Characters that no text should hold, and the capitals that are counted. Fixed values.
+SYMBOLS = b"#$%&*|"
+CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def few_words(text: Column) -> Column:
-    return F.size(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))) < FEW_WORDS
+def few_words(text: str, data: bytes, words: list[bytes]) -> bool:
+    return len(words) < FEW_WORDS
 
 
-def repeated_words(text: Column) -> Column:
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    return 100 * F.size(F.array_distinct(words)) < 50 * F.size(words)
+def repeated_words(text: str, data: bytes, words: list[bytes]) -> bool:
+    return 100 * len(set(words)) < 50 * len(words)
 
 
-def many_capitals(text: Column) -> Column:
-    capitals = F.length(text) - F.length(F.regexp_replace(text, "[A-Z]+", ""))
-    return 100 * capitals > MOST_CAPITALS * F.length(text)
+def many_capitals(text: str, data: bytes, words: list[bytes]) -> bool:
+    return 100 * (len(data) - len(data.translate(None, CAPITALS))) > MOST_CAPITALS * len(text)
 
 
-def has_symbols(text: Column) -> Column:
-    return text.rlike(SYMBOLS)
+def has_symbols(text: str, data: bytes, words: list[bytes]) -> bool:
+    return len(data.translate(None, SYMBOLS)) < len(data)
 
 
-#: Filters that see one text: true where it fails. ``E``, a copy of a text with a smaller id, needs all rows.
-BY_TEXT = {"A": few_words, "B": repeated_words, "C": many_capitals, "D": has_symbols}
+#: Filters that see one text, its UTF-8 bytes and its words between ASCII white space: true where it fails.
+BY_TEXT: dict[str, Callable[[str, bytes, list[bytes]], bool]] = {
+    "A": few_words, "B": repeated_words, "C": many_capitals, "D": has_symbols,
+}
+#: A copy of a text with a smaller id: this filter needs all rows.
 COPIES = "E"
 
 
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        marks, digests = {name: [] for name in BY_TEXT}, []
+        for text in batch["_text"].to_pylist():
+            data = text.encode()
+            words = data.split()
+            for name, fails in BY_TEXT.items():
+                marks[name].append(fails(text, data, words))
+            digests.append(hashlib.sha256(data).digest())
+        columns = {c: batch[c] for c in ("row", "doc_id", "part")} | {"digest": pa.array(digests, pa.binary())}
+        yield pa.RecordBatch.from_pydict(columns | {name: pa.array(m, pa.bool_()) for name, m in marks.items()})
+
+
 def failing(docs: DataFrame, part: str = "lang", doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, dict[str, DataFrame]]:
     """The rows (``row, doc_id, part``) and for each filter the table of the rows that fail it.
 
     The texts are read once. Rows are told apart by a number of their own, so ids may be null or repeat.
     """
-    said = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), present(part).alias("part"), present(text).alias("_text"))
-    digest = F.sha2(F.col("_text").cast("binary"), 256).alias("_digest")
-    marks = [fails(F.col("_text")).alias(name) for name, fails in BY_TEXT.items()]
-    rows = settle(said.select("row", "doc_id", "part", digest, *marks), "audit-rows")
+    row, key = F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id")
+    said = docs.select(row, key, present(part).alias("part"), present(text).alias("_text"))
+    kind = docs.schema[doc_id].dataType.simpleString()
+    marks = ", ".join(f"{name} boolean" for name in BY_TEXT)
+    rows = settle(said.mapInArrow(_judged, f"row long, doc_id {kind}, part string, digest binary, {marks}"), "audit-rows")
     tables = {name: settle(rows.where(name).select("row"), f"audit-fails-{name}") for name in BY_TEXT}
     # One row per repeated text. A text of a third of all rows is one partial result per task, and Spark splits it in the join.
-    first = rows.groupBy("_digest").agg(F.min("doc_id").alias("_first"), F.count("*").alias("_n")).where("_n > 1")
-    copies = rows.select("row", "doc_id", "_digest").join(first, "_digest").where("doc_id > _first").select("row")
+    first = rows.groupBy("digest").agg(F.min("doc_id").alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+    copies = rows.select("row", "doc_id", "digest").join(first, "digest").where("doc_id > _first").select("row")
     tables[COPIES] = settle(copies, f"audit-fails-{COPIES}")
     return rows.select("row", "doc_id", "part"), tables
 
@@ -75,22 +94,37 @@ def labelled(rows: DataFrame, labels: DataFrame, doc_id: str = "doc_id") -> Data
 
 
 def survivors(rows: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """``rows`` once for each set of filters that they survive: ``gone`` has a bit for each filter of the set."""
-    alive = rows.withColumn("gone", F.lit(0))
+    """``rows`` with ``alive``: a bit for each set of filters that the row survives, the set being the bit's number.
+
+    A row that passes one filter more survives each of its sets with that filter too. The sets are kept as bits,
+    for else each row would be shuffled 32 times.
+    """
+    alive = rows.withColumn("alive", F.lit(1).cast("long"))
     for bit, fails in enumerate(tables.values()):
-        alive = alive.unionByName(alive.join(fails, "row", "left_anti").withColumn("gone", F.col("gone") + (1 << bit)))
+        both = F.col("alive").bitwiseOR(F.shiftleft("alive", 1 << bit))
+        passed = alive.join(fails, "row", "left_anti").withColumn("alive", both)
+        stopped = alive.join(fails, "row", "left_semi")
+        alive = settle(passed.unionByName(stopped), f"audit-alive-{bit}")
     return alive
 
 
 def set_counts(rows: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     """For each part, set of filters ``gone`` and filter ``bit`` outside it (-1: survivors of the set): ``n, good, toxic``."""
     alive = survivors(rows, tables)
-    losses = [F.count("*").alias("n"), F.count_if("good").alias("good"), F.count_if("toxic").alias("toxic")]
-    found = alive.groupBy("part", "gone", F.lit(-1).alias("bit")).agg(*losses)
+
+    def counted(some: DataFrame, bit: int, sets: list[int]) -> DataFrame:
+        kinds = some.groupBy("part", "alive").agg(
+            F.count("*").alias("n"), F.count_if("good").alias("good"), F.count_if("toxic").alias("toxic")
+        )
+        held = F.filter(F.array(*map(F.lit, sets)), lambda s: F.getbit("alive", s) == 1)
+        each = kinds.select("part", F.explode(held).alias("gone"), "n", "good", "toxic")
+        return each.groupBy("part", "gone").agg(*[F.sum(c).alias(c) for c in ("n", "good", "toxic")]).withColumn("bit", F.lit(bit))
+
+    every = range(1 << len(tables))
+    found = counted(alive, -1, list(every))
     for bit, fails in enumerate(tables.values()):
-        before = alive.where(F.col("gone").bitwiseAND(1 << bit) == 0)
-        removed = before.join(fails, "row", "left_semi")
-        found = found.unionByName(removed.groupBy("part", "gone", F.lit(bit).alias("bit")).agg(*losses))
+        removed = alive.join(fails, "row", "left_semi")
+        found = found.unionByName(counted(removed, bit, [s for s in every if not s >> bit & 1]))
     return found
 
 
@@ -116,7 +150,6 @@ def audit(docs: DataFrame, labels: DataFrame, part: str = "lang", doc_id: str =
     rows, tables = failing(docs, part, doc_id, text)
     labels = labels.select(F.col("doc_id"), F.col("quality"), F.col("toxic"))
     names = list(tables)
-    # Dealt by row once; the joins by row and their unions stay where the rows are.
     rows = settle(labelled(rows, labels), "audit-labelled")
     counts = settle(set_counts(rows, tables), "audit-counts")
 
@@ -129,13 +162,10 @@ def audit(docs: DataFrame, labels: DataFrame, part: str = "lang", doc_id: str =
         return F.coalesce(F.try_element_at("_counts", key).getField(field), F.lit(0)).cast("long")
 
     every = (1 << len(names)) - 1
-    plan = [
-        F.struct(F.lit(o).alias("filter_order"), F.lit(s).alias("step"), F.lit(g).alias("gone"), F.lit(b).alias("bit"))
-        for o, s, g, b in steps(names)
-    ]
-    at = parts.select("part", "_counts", F.explode(F.array(*plan)).alias("_at")).select("part", "_counts", "_at.*")
+    # One expression as text: built from columns, its 600 rows are thousands of calls to the JVM.
+    plan = ", ".join(f"('{order}', {step}, {gone}, {bit})" for order, step, gone, bit in steps(names))
+    at = parts.select("part", "_counts", F.expr(f"inline(array({plan}))").alias("filter_order", "step", "gone", "bit"))
     gone, bit = F.col("gone"), F.col("bit")
-    own = F.shiftleft(F.lit(1), 0).cast("int")
     own = F.expr("shiftleft(1, bit)")
     told = at.select(
         "part", "filter_order", "step", "bit",
@@ -146,5 +176,5 @@ def audit(docs: DataFrame, labels: DataFrame, part: str = "lang", doc_id: str =
         count(gone, bit, "good").alias("good_lost"),
         count(gone, bit, "toxic").alias("toxic_lost"),
     )
-    shares = told.groupBy("part", "bit").agg(F.sum("removed").alias("shapley"))
-    return told.join(shares, ["part", "bit"]).drop("bit")
+    own_share = F.sum("removed").over(Window.partitionBy("part", "bit"))  # 120 rows each
+    return told.withColumn("shapley", own_share).drop("bit")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranklake.llm import chat, counts, exact, langid, mixing, packing, passages, simhash, topk, toxicity, warc
+from ranklake.llm import audit, chat, counts, exact, langid, manifest, mixing, packing, passages, simhash, topk, toxicity, warc
 from ranklake.session import scratch_path
 from ranklake.workload import Registry
 
@@ -163,3 +163,109 @@ def op8_passages(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op11_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.count_tokens(table(spark, folder, "documents"))
+
+
+_AUDIT = rf"""
+WITH said AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '{_WORD}') AS words FROM documents),
+judged AS (
+  SELECT doc_id, part, (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+    + 4 * (100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 3 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT
+    + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS fails
+  FROM said),
+marks AS (SELECT doc_id AS id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+counts AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM judged LEFT JOIN marks ON doc_id = id GROUP BY part, fails),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c, unnest([1, 2, 4, 8, 16]) AS b),
+orders AS (
+  SELECT v.c || w.c || x.c || y.c || z.c AS filter_order, [v.b, w.b, x.b, y.b, z.b] AS bits
+  FROM letters v, letters w, letters x, letters y, letters z WHERE v.b | w.b | x.b | y.b | z.b = 31),
+steps AS (
+  SELECT filter_order, s::INT AS step, bits[s] AS own, coalesce(list_sum(bits[1 : s - 1]), 0)::INT AS gone
+  FROM orders, range(1, 6) r(s)),
+told AS (
+  SELECT part, filter_order, step, own,
+    coalesce(sum(n) FILTER (fails & (gone | own) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (fails & own > 0 AND fails & gone = 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (fails & own > 0 AND fails & gone > 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (fails = own), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (fails & own > 0 AND fails & gone = 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (fails & own > 0 AND fails & gone = 0), 0)::BIGINT AS toxic_lost
+  FROM counts, steps GROUP BY part, filter_order, step, own)
+SELECT * EXCLUDE (own), (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM told
+"""
+
+
+@query(_AUDIT)
+def op12_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode(({value})::VARCHAR))::VARCHAR || ':' || ({value})::VARCHAR, '-')"
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_LEAF = "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", "text"))) + ")"
+_CLAIM = "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", f"translate(text, '{_UPPER}', '{_LOWER}')"))) + ")"
+_BESIDE = """
+    coalesce(string_agg(hash, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+    coalesce(string_agg(hash, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a"""
+_MANIFEST = f"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS t FROM range(256) r(n)),
+leaves AS (
+  SELECT doc_id, lang, leaf, CASE WHEN tampered THEN claim ELSE leaf END AS claim,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank
+  FROM (SELECT doc_id, lang, {_LEAF} AS leaf, {_CLAIM} AS claim,
+    coalesce(xor(list_reduce([unicode(d)::BIGINT FOR d IN string_split(doc_id::VARCHAR, '')],
+      lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) % 3 = 0, false) AS tampered
+    FROM documents, crc)),
+nodes AS (
+  SELECT 0 AS level, lang, rank AS idx, leaf AS hash FROM leaves UNION ALL
+  SELECT level + 1, lang, idx // 8, sha256(string_agg(hash, '' ORDER BY idx))
+  FROM (SELECT *, count(*) OVER (PARTITION BY lang) AS n FROM nodes) WHERE n > 1 GROUP BY level, lang, idx // 8),
+ends AS (SELECT *, max(level) OVER (PARTITION BY lang) AS last FROM nodes),
+subroots AS (SELECT lang, hash, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS rank FROM ends WHERE level = last),
+tops AS (
+  SELECT 0 AS level, rank AS idx, hash FROM subroots UNION ALL
+  SELECT level + 1, idx // 8, sha256(string_agg(hash, '' ORDER BY idx))
+  FROM (SELECT *, count(*) OVER () AS n FROM tops) WHERE n > 1 GROUP BY level, idx // 8),
+low AS (SELECT level, lang, idx, {_BESIDE} FROM ends WHERE level < last WINDOW run AS (PARTITION BY lang, level, idx // 8 ORDER BY idx)),
+high AS (
+  SELECT level, idx, {_BESIDE} FROM tops WHERE level < (SELECT max(level) FROM tops)
+  WINDOW run AS (PARTITION BY level, idx // 8 ORDER BY idx)),
+steps AS (
+  SELECT doc_id, leaf, leaves.lang, rank, level, b, a FROM leaves JOIN low
+    ON low.lang IS NOT DISTINCT FROM leaves.lang AND idx = rank >> (3 * level)
+  UNION ALL
+  SELECT doc_id, leaf, leaves.lang, leaves.rank, 100 + level, b, a FROM leaves
+    JOIN subroots s ON s.lang IS NOT DISTINCT FROM leaves.lang JOIN high ON idx = s.rank >> (3 * level)),
+paths AS (
+  SELECT lang, rank, sha256(string_agg(b || a, '' ORDER BY level)) AS proof_sha256,
+    list({{'b': b, 'a': a, 'h': ''}} ORDER BY level) AS path FROM steps GROUP BY lang, rank),
+told AS (
+  SELECT doc_id, leaf, s.hash AS subroot, (SELECT hash FROM tops ORDER BY level DESC LIMIT 1) AS root,
+    coalesce(proof_sha256, sha256('')) AS proof_sha256,
+    coalesce(list_reduce(path, lambda x, y: {{'b': '', 'a': '', 'h': sha256(y.b || x.h || y.a)}}, {{'b': '', 'a': '', 'h': claim}}).h, claim) AS folded_root
+  FROM leaves JOIN subroots s ON s.lang IS NOT DISTINCT FROM leaves.lang
+  LEFT JOIN paths ON paths.lang IS NOT DISTINCT FROM leaves.lang AND paths.rank = leaves.rank)
+SELECT *, folded_root = root AS verified FROM told
+"""
+
+
+@query(_MANIFEST)
+def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    # Every third document is checked as if its capitals had been lost.
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lowered = F.when(tampered, F.translate("text", _UPPER, _LOWER)).otherwise(F.col("text"))
+    found = manifest.manifest(table(spark, folder, "documents"), claimed={"text": lowered})
+    told = found.select(
+        "doc_id", "leaf", "subroot", "root", manifest.proof_digest().alias("proof_sha256"),
+        manifest.folded(F.coalesce("claimed_leaf", "leaf")).alias("folded_root"),
+    )
+    return told.withColumn("verified", F.col("folded_root") == F.col("root"))
