@@ -13,46 +13,41 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
 from ranklake.functions.text import key_text
-from ranklake.operators.skew import hot_keys, join_unique
 from ranklake.schemas import ROW_BYTES
 from ranklake.session import settle
 
 
-def numbered(df: DataFrame, order: list[str], by: list[str] = (), name: str = "row_no") -> DataFrame:
-    """Add the 0-based place of each row in ``order`` within ``by``.
+def laid_out(df: DataFrame, order: list[str], by: list[str] = ()) -> tuple[DataFrame, DataFrame, list[str]]:
+    """``df`` in order of ``by`` and ``order``, written once: one file per range.
 
-    Rows that are equal in all of ``order`` come in any order, but each gets its own number.
+    Returns the rows with their ``_file``, ``_index`` in it and group columns; the spans, one row for each file and
+    group (``_number`` of the file, ``_rows``, ``_least`` index); and the names of the group columns.
     """
-    keys = [*by, *order]
     groups = {f"_group{i}": key_text(c) for i, c in enumerate(by)}
     # Rows that are equal in all keys may still go to several ranges, by a hash of the rest.
     flat = [f.name for f in df.schema if isinstance(f.dataType, AtomicType)]
-    keys = [*keys, F.xxhash64(F.lit("tie"), *flat)]
+    keys = [*by, *order, F.xxhash64(F.lit("tie"), *flat)]
     ordered = settle(df.repartitionByRange(*keys).sortWithinPartitions(*keys), "ordered")
     file = F.col("_metadata.file_path").alias("_file")
     rows = ordered.select(*df.columns, file, F.col("_metadata.row_index").alias("_index")).withColumns(groups)
-
-    # Both small results are written, so that Spark knows their size when it plans the joins.
+    # Written, so that Spark knows its size when it plans the joins.
     spans = rows.groupBy("_file", *groups).agg(F.count("*").alias("_rows"), F.min("_index").alias("_least"))
-    spans = settle(spans, "spans")
-    number = F.regexp_extract("_file", r"part-(\d+)", 1).cast("long")
-    before = Window.orderBy(number, "_file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        spans.groupBy("_file")
-        .agg(F.sum("_rows").alias("_rows"))
-        .select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    )
-    starts = settle(starts, "starts")
-    placed = rows.join(starts, "_file").withColumn("_place", F.col("_start") + F.col("_index"))
-    if not by:
-        return placed.select(*df.columns, F.col("_place").alias(name))
-    firsts = (
-        spans.join(starts, "_file").groupBy(*groups).agg(F.min(F.col("_start") + F.col("_least")).alias("_first"))
-    )
-    hot = hot_keys(rows, list(groups))
-    return join_unique(placed, firsts, list(groups), "inner", ["_place"], hot).select(
-        *df.columns, (F.col("_place") - F.col("_first")).alias(name)
-    )
+    number = F.regexp_extract("_file", r"part-(\d+)", 1).cast("long").alias("_number")
+    return rows, settle(spans.select(number, *spans.columns), "spans"), list(groups)
+
+
+def numbered(df: DataFrame, order: list[str], by: list[str] = (), name: str = "row_no") -> DataFrame:
+    """Add the 0-based place of each row in ``order`` within ``by``.
+
+    Rows that are equal in all of ``order`` come in any order, but each gets its own number. A row's number is that
+    of its span and its place in it, so rows meet only the spans: by broadcast where these are known to be few.
+    """
+    rows, spans, groups = laid_out(df, order, by)
+    before = Window.partitionBy(*groups).orderBy("_number", "_file").rowsBetween(Window.unboundedPreceding, -1)
+    base = F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_least")
+    bases = settle(spans.select("_file", *groups, base.alias("_base")), "bases")
+    placed = rows.join(bases, ["_file", *groups])
+    return placed.select(*df.columns, (F.col("_base") + F.col("_index")).alias(name))
 
 
 def split_even(df: DataFrame, parts: int, order: list[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ranklake.functions import hashing
 from ranklake.functions.text import tier_rank
-from ranklake.operators import dedup, grid, joins, numbering, propagate, summary, work
+from ranklake.operators import chunks, dedup, grid, joins, numbering, propagate, summary, work
 from ranklake.operators.increment import increment as new_part
 from ranklake.operators.increment import take_until_seen as until_seen
 from ranklake.operators.normalize import classify
@@ -308,6 +308,23 @@ def chunk_measured(spark, sf_dir):
     return numbering.chunk_files(docs, ["lang"], ["doc_id"], threshold=2000, row_bytes="measured")
 
 
+@query(
+    """WITH RECURSIVE s AS (SELECT doc_id, lang, source, coalesce(octet_length(encode(text)), 0) AS b,
+            row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS i FROM documents),
+        w AS (
+          SELECT doc_id, lang, source, i, CAST(0 AS BIGINT) AS file_no, b AS held FROM s WHERE i = 1
+          UNION ALL
+          SELECT s.doc_id, s.lang, s.source, s.i, w.file_no + CAST(held >= 20000 AS BIGINT),
+            CASE WHEN held >= 20000 THEN 0 ELSE held END + b
+          FROM w JOIN s ON s.lang IS NOT DISTINCT FROM w.lang AND s.i = w.i + 1)
+        SELECT doc_id, lang, source, file_no FROM w"""
+)
+def chunk_by_bytes(spark, sf_dir):
+    """Files that close on the bytes of the rows written to them."""
+    docs = I.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.octet_length("text").alias("size"))
+    return chunks.chunk_by_bytes(docs, ["lang"], ["doc_id"], 20000, F.col("size")).drop("size")
+
+
 @query(
     f"""SELECT 'loaded' AS stage, count(*) AS rows FROM ({I.LADDER_ROWS})
         UNION ALL SELECT 'players', count(DISTINCT puuid) FROM ({I.LADDER_ROWS})
