@@ -9,7 +9,7 @@ from ranklake.operators.dedup import latest_by
 from ranklake.operators.joins import mark
 from ranklake.operators.skew import hot_keys, join_unique
 from ranklake.session import settle
-from ranklake.sinks.tables import overwrite_partitions
+from ranklake.sinks.journal import replace_partitions
 
 
 def touched_partitions(
@@ -100,8 +100,9 @@ def propagate(
     """Rewrite, in the table at ``path``, the partitions that hold a listing of a done id.
 
     ``listings`` are the rows of that table (with source columns if ``order`` needs them).
-    The new rows are complete in the shared folder before the first old file is replaced.
+    The new rows are complete beside the table before the first old file is replaced, and replace them through the
+    journal: a run that dies on the way loses no listing.
     """
     flagged = flag_touched(listings, done, key, by, spread, scope, order)
     keep = [c for c in flagged.columns if c not in ("source_file_path", "source_row")]
-    overwrite_partitions(settle(flagged.select(*keep), "listings"), path, by)
+    replace_partitions(flagged.select(*keep), path, by)

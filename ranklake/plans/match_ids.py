@@ -18,6 +18,7 @@ from ranklake.operators.summary import resume_plan
 from ranklake.operators.work import advance, map_work
 from ranklake.schemas import DAY, IDS_PER_PLAYER, MATCH_IDS, PLAYER_STATE, SHARDS
 from ranklake.session import settle
+from ranklake.sinks import journal
 from ranklake.sinks.tables import append, conform, newest_state, write_state
 from ranklake.sources.pages import explode_ids, key_outcomes, pages_before_stop
 from ranklake.sources.parquet import last_shard_wins, scan_table
@@ -71,6 +72,7 @@ def run_ids(
     the append, running it again with the same ``ingested_at`` adds what is missing and nothing twice: rows of
     that stamp do not end a list, and rows that are stored already are left out.
     """
+    journal.recover(spark, table)
     state = last_shard_wins(newest_state(spark, state_root, PLAYER_STATE, run), "puuid")
     outcomes = settle(outcomes, "id-outcomes")
     readers = due(state, as_of).join(outcomes.where(is_done()).select("puuid"), "puuid", "left_semi")

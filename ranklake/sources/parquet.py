@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +40,16 @@ def scan_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 def scan_with_source(spark: SparkSession, path: str, schema: StructType, partitioned: bool = False) -> DataFrame:
     """``scan`` plus the file each row came from and its place in that file."""
     found = _read(spark, path, schema, {} if partitioned else _FLAT)
+    return _sourced(spark, found, schema)
+
+
+def scan_files(spark: SparkSession, table: str, files: list[str], schema: StructType) -> DataFrame:
+    """Rows of the given files of a partitioned table, each with its file and place. Others are not opened."""
+    found = spark.read.schema(schema).option("basePath", table).parquet(*map(unquote, files)) if files else None
+    return _sourced(spark, found, schema)
+
+
+def _sourced(spark: SparkSession, found: DataFrame | None, schema: StructType) -> DataFrame:
     if found is None:
         sourced = StructType([*schema.fields]).add("source_file_path", "string").add("source_row", "long")
         return spark.createDataFrame([], sourced)

@@ -320,3 +320,50 @@ def match_job_state(spark, sf_dir):
     """The flags that the match job leaves in the match state."""
     root = _run_matches(spark, sf_dir)[1]
     return tables.newest_state(spark, root, MATCH_STATE).select("match_id", "puuid", "is_ingested")
+
+
+def _run_matches_logged(spark, sf_dir):
+    """The match job beside a table and a state that it does not rewrite."""
+    listed, root = _listing_table(spark, sf_dir), scratch_path(spark, "match-state")
+    table = scratch_path(spark, "matches")
+    matches.run_plan_matches(spark, listed, root, "2024-01-25", log=True)
+    matches.run_matches(spark, root, I.match_replies(spark, sf_dir), table, listed, "2024-01-26", I.STAMP, log=True)
+    return listed, root
+
+
+@query(_FLAGGED)
+def match_job_overlay(spark, sf_dir):
+    """The flags that the match job leaves beside the listing table, read together with it."""
+    listed = _run_matches_logged(spark, sf_dir)[0]
+    return matches.read_listings(spark, listed).select("match_id", "puuid", "is_ingested")
+
+
+@query(_FLAGGED)
+def match_job_compacted(spark, sf_dir):
+    """The listing table itself, once the flags are folded into it."""
+    listed, root = _run_matches_logged(spark, sf_dir)
+    matches.compact_matches(spark, root, listed, "2024-01-27")
+    return parquet.scan_table(spark, listed, match_ids.STORED).select("match_id", "puuid", "is_ingested")
+
+
+@query(_FLAGGED)
+def match_job_log(spark, sf_dir):
+    """The match state as base and log."""
+    root = _run_matches_logged(spark, sf_dir)[1]
+    return matches.read_match_state(spark, root).select("match_id", "puuid", "is_ingested")
+
+
+@query(
+    f"""SELECT match_id, puuid, is_ingested, region, platform, {I.sql_shard("match_id")} AS shard_id FROM ({_LISTED})"""
+)
+def match_plan_log(spark, sf_dir):
+    """Listings that arrive on two days, planned day by day, the first day's compacted in between."""
+    whole, root, listed = _listing_table(spark, sf_dir), scratch_path(spark, "match-state"), scratch_path(spark, "listings")
+    rows = parquet.scan_table(spark, whole, match_ids.STORED)
+    for day, stamp in enumerate(("2024-01-25T00:00:00", "2024-01-26T00:00:00")):
+        part = rows.where(F.pmod(F.xxhash64("match_id", "puuid"), F.lit(2)) == day).withColumn("_ingested_at", as_timestamp(stamp))
+        tables.append(part.withColumn(DAY, F.to_date("_ingested_at")), listed, match_ids.FOLDERS)
+        matches.run_plan_matches(spark, listed, root, f"2024-01-2{5 + day}", log=True)
+        if not day:
+            matches.compact_matches(spark, root, listed, "2024-01-25b")
+    return matches.read_match_state(spark, root).drop("source_file_path")
