@@ -35,10 +35,23 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of ``df`` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        number = 0
+        while (own := f"_{name}_{number}") in taken:
+            number += 1
+        out.append(own)
+    return out
+
+
 def first_of(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One row of each key: used where rows of a key are the same, and already lie together."""
+    (name,) = unused(rows, "of_key")
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
-    return rows.withColumn("_of_key", place).where("_of_key = 1").drop("_of_key")
+    return rows.withColumn(name, place).where(F.col(name) == 1).drop(name)
 
 
 def dense_table(cells: DataFrame, size_log: int, dtype: str) -> np.ndarray:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ranklake.llm.common import SPACES, first_of, key_of, present
+from ranklake.llm.common import SPACES, first_of, key_of, present, unused
 from ranklake.session import settle
 
 PREFIX = 64
@@ -80,8 +80,8 @@ def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     The texts are read once for their digests and once to be kept, and only then shuffled.
     """
+    own, full = unused(docs, "id", "full")
     kept = mark_copies(docs, doc_id, text, digest_all=True).where("kept")
-    kept = settle(kept.select(key_of(F.col("doc_id")).alias("_id"), F.col("text_sha256").alias("_full")), "exact-kept")
-    full = F.sha2(normalised(text).cast("binary"), 256)
-    named = docs.withColumns({"_id": key_of(F.col(doc_id)), "_full": full})
-    return first_of(named.join(kept, ["_id", "_full"], "left_semi"), ["_id", "_full"]).select(*docs.columns)
+    kept = settle(kept.select(key_of(F.col("doc_id")).alias(own), F.col("text_sha256").alias(full)), "exact-kept")
+    named = docs.withColumns({own: key_of(F.col(doc_id)), full: F.sha2(normalised(text).cast("binary"), 256)})
+    return first_of(named.join(kept, [own, full], "left_semi"), [own, full]).select(*docs.columns)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ranklake.llm.common import WORD, key_of, present, uniform
+from ranklake.llm.common import WORD, key_of, present, uniform, unused
 from ranklake.session import settle
 
 BUCKETS = 1 << 12
@@ -134,18 +134,17 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Same columns as ``docs``. Rows that share an id and a size share their lot in turn: ids should be unique.
     Documents without words are left out, as nothing of them is taken.
     """
+    own, size, epochs, extra, words, take = map(F.col, names := unused(docs, "id", "size", "epochs", "extra", "words", "take"))
     lot = mix(docs, doc_id=doc_id, text=text, **settings).where("taken > 0")
-    lot = lot.groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size")).agg(
-        F.max("epochs").alias("_epochs"), F.max("extra").alias("_extra")
+    lot = lot.groupBy(F.col("doc_id").alias(names[0]), F.col("size").alias(names[1])).agg(
+        F.max("epochs").alias(names[2]), F.max("extra").alias(names[3])
     )
-    joined = docs.withColumn("_words", word_count(text)).join(
-        lot, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_words") == F.col("_size"))
-    )
-    whole = F.array_repeat(F.col("_words"), F.col("_epochs").cast("int"))
-    takes = F.when(F.col("_extra") > 0, F.concat(whole, F.array(F.col("_extra")))).otherwise(whole)
-    copies = joined.withColumn("_take", F.explode(takes))
-    part = F.col("_take") < F.col("_words")
-    cut = copies.withColumn(text, F.when(part, first_words(F.col(text), F.col("_take"))).otherwise(F.col(text)))
+    joined = docs.withColumn(names[4], word_count(text)).join(lot, F.col(doc_id).eqNullSafe(own) & (words == size))
+    whole = F.array_repeat(words, epochs.cast("int"))
+    takes = F.when(extra > 0, F.concat(whole, F.array(extra))).otherwise(whole)
+    copies = joined.withColumn(names[5], F.explode(takes))
+    part = take < words
+    cut = copies.withColumn(text, F.when(part, first_words(F.col(text), take)).otherwise(F.col(text)))
     if n_chars in docs.columns:
         cut = cut.withColumn(n_chars, F.when(part, F.length(text).cast("long")).otherwise(F.col(n_chars)))
     return cut.select(*docs.columns)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ranklake.llm import golay
-from ranklake.llm.common import first_of, key_of, present
+from ranklake.llm.common import first_of, key_of, present, unused
 from ranklake.llm.components import components
 from ranklake.session import settle
 
@@ -208,13 +208,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component stays: that with the smallest id, one of them if they share it. Same columns."""
-    keys = {"_id": key_of(F.col(doc_id)), "_text": F.xxhash64(present(text))}
-    named = docs.withColumns(keys)
-    marked = near_duplicates(named, doc_id, text, "_text")
+    own, body = unused(docs, "id", "text")
+    named = docs.withColumns({own: key_of(F.col(doc_id)), body: F.xxhash64(present(text))})
+    marked = near_duplicates(named, doc_id, text, body).withColumnRenamed(body, "_text")
     # A row stays if its id is its component's. A component without ids keeps a row for each fingerprint.
     able = marked.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     group = ["doc_id", F.when(F.col("doc_id").isNull(), F.col("fingerprint"))]
     order = Window.partitionBy(*group).orderBy("_text")
     stay = able.withColumn("_n", F.row_number().over(order)).where("_n = 1")
-    stay = settle(stay.select(key_of(F.col("doc_id")).alias("_id"), "_text"), "simhash-stay")
-    return first_of(named.join(stay, ["_id", "_text"], "left_semi"), ["_id", "_text"]).select(*docs.columns)
+    stay = settle(stay.select(key_of(F.col("doc_id")).alias(own), F.col("_text").alias(body)), "simhash-stay")
+    return first_of(named.join(stay, [own, body], "left_semi"), [own, body]).select(*docs.columns)

@@ -32,14 +32,15 @@ FEW = 16
 def integer_vectors(rows: DataFrame, row_id: str, vector: str) -> DataFrame:
     """``id, dim, v``: ``floor(256 * x)`` of each component; unusable vectors left out.
 
-    A null id takes no part. Of rows that share an id the one with the smallest vector counts.
+    A null id takes no part; each row of a repeated id does. A vector whose scores could pass 64 bits is an error.
     """
     values = F.transform(F.col(vector), lambda x: x.cast("double"))
     finite = F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = rows.where(F.col(row_id).isNotNull() & F.col(vector).isNotNull()).where(finite)
-    whole = F.transform(values, lambda x: F.floor(x * 256).cast("long"))
-    one = usable.select(F.col(row_id).cast("long").alias("id"), whole.alias("v")).groupBy("id").agg(F.min("v").alias("v"))
-    return one.select("id", F.size("v").alias("dim"), "v")
+    most = F.sqrt(F.lit(float(1 << 62)) / F.greatest(F.size(vector), F.lit(1)))
+    large = F.raise_error(F.lit(f"a component of {vector} is too large for scores of 64 bits")).cast("long")
+    whole = F.transform(values, lambda x: F.when(F.abs(x * 256) < most, F.floor(x * 256).cast("long")).otherwise(large))
+    return usable.select(F.col(row_id).cast("long").alias("id"), F.size(vector).alias("dim"), whole.alias("v"))
 
 
 _PACKED = "dim int, ids binary, vectors binary"
@@ -70,10 +71,10 @@ def _pack(size: int):
     return run
 
 
-def nra(queries: np.ndarray, rows: np.ndarray, k: int, skip: np.ndarray) -> list[np.ndarray]:
+def nra(queries: np.ndarray, rows: np.ndarray, k: int, own: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
     """For each query the candidates that can be among its best k: few, and none missing.
 
-    ``rows`` are the candidates in rows; ``skip`` has for each query the row that takes no part, or -1.
+    ``rows`` are the candidates in rows; ``own`` has pairs of a query and a row that takes no part for it.
     """
     n, dims = rows.shape
     x = rows.astype(np.float64)
@@ -95,11 +96,12 @@ def nra(queries: np.ndarray, rows: np.ndarray, k: int, skip: np.ndarray) -> list
         # What a list gives to a candidate: its value if read, else at most the front and at least the end.
         most = q_up @ np.where(seen_up, x, front_up).T + q_down @ np.where(seen_down, x, front_down).T
         least = most if read == n else q_up @ np.where(seen_up, x, low).T + q_down @ np.where(seen_down, x, high).T
-        own = skip[going]
-        mine = np.flatnonzero(own >= 0)
-        most[mine, own[mine]] = -np.inf
+        at = np.full(len(queries), -1)
+        at[going] = np.arange(len(going))
+        mine, apart = at[own[0]][at[own[0]] >= 0], own[1][at[own[0]] >= 0]
+        most[mine, apart] = -np.inf
         if least is not most:
-            least[mine, own[mine]] = -np.inf
+            least[mine, apart] = -np.inf
         kth = np.partition(least, n - k, axis=1)[:, n - k] if n > k else np.full(len(going), -np.inf)
         able = most >= (kth - slack[going])[:, None]
         if read == n:  # bounds are scores: only ties and rounding leave more than k
@@ -123,11 +125,13 @@ def _search(k: int):
                 data = np.frombuffer(row["vectors"], "<i8").reshape(len(ids), dim)
                 asked = np.frombuffer(row["q_vectors"], "<i8").reshape(len(qids), dim)
                 by_id = np.argsort(ids)
-                at = np.minimum(np.searchsorted(ids[by_id], qids), len(ids) - 1)
-                skip = np.where(ids[by_id[at]] == qids, by_id[at], -1)
+                first = np.searchsorted(ids[by_id], qids)
+                same = np.searchsorted(ids[by_id], qids, "right") - first
+                asking = np.repeat(np.arange(len(qids)), same)
+                apart = by_id[np.repeat(first - (np.cumsum(same) - same), same) + np.arange(same.sum())]
                 out: list = [[], [], []]
-                for q, able in enumerate(nra(asked, data, k, skip)):
-                    able = able[able != skip[q]]
+                for q, able in enumerate(nra(asked, data, k, (asking, apart))):
+                    able = able[ids[able] != qids[q]]
                     scores = data[able] @ asked[q]
                     best = np.lexsort((ids[able], -scores))[:k]
                     out[0].append(np.full(len(best), qids[q]))
@@ -144,7 +148,8 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, row_id: str = "vec_id",
 
     ``is_query`` is a condition on ``id``. The score is the inner product of the integer vectors, in
     64 bits; vectors of another length than the query's take no part. Ties go to the smaller id. A query
-    with fewer candidates gets all of them. Empty tables give no rows; other columns are ignored.
+    with fewer candidates gets all of them. Each row of a repeated id is a candidate; those that share a query's id are its own
+    and no candidates, and together they get the best of all they ask. Empty tables give no rows; other columns are ignored.
     """
     vectors = settle(integer_vectors(rows, row_id, vector), "topk-vectors")
     queries = vectors.where(is_query)
