@@ -68,7 +68,10 @@ def test_stages(spark, folder):
     least = {}
     for r, g in zip(exact, groups):
         least[g] = min(r.doc_id, least.get(g, r.doc_id))
-    assert sorted(r.doc_id for r in near) == sorted(least.values()) and len(near) < len(exact)
+    # Nothing goes that has no such neighbour; few of the others are missed, as fingerprints find the candidates.
+    stay = {r.doc_id for r in near}
+    assert len(near) == len(stay) and stay >= set(least.values())
+    assert len(exact) - len(stay) >= 0.9 * (len(exact) - len(least)) > 0
     words = lambda rows: sum(len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for r in rows)
     assert abs(words(mixed) - 1.5 * words(near)) <= 4
     assert {r.doc_id for r in mixed} <= {r.doc_id for r in near}
