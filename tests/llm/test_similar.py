@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ranklake.llm import similar
@@ -60,6 +61,47 @@ def test_one_of_each_group_stays(spark):
     assert {r.node for r in kept.collect()} == {"mine"}
 
 
+def test_no_limit_costs_a_link(spark, monkeypatch):
+    rng = random.Random(3)
+    base = [f"w{rng.randint(0, 5000)}" for _ in range(150)]
+    texts = []
+    for n in range(90):  # words of one text moved, so that all have its fingerprints, or changed; some pairs pass the check
+        words = list(base)
+        for _ in range(n % 7):
+            i, j = rng.randrange(len(words)), rng.randrange(len(words))
+            words[i], words[j] = words[j], words[i] if n % 2 else f"n{n % 5}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def groups(nearest):
+        monkeypatch.setattr(similar, "NEAREST", nearest)
+        found = defaultdict(set)
+        for r in similar.similar(docs).collect():
+            found[r.root].add(r.id)
+        return sorted(map(sorted, found.values()))
+
+    free = groups(1 << 30)
+    assert len(free) > 1 and max(map(len, free)) > 20
+    assert groups(1) == groups(3) == free
+
+
+def test_words_in_another_order_share_fingerprints_and_links_are_found(spark):
+    rng = random.Random(5)
+    base = [f"w{rng.randint(0, 5000)}" for _ in range(150)]
+    orders = [rng.sample(base, len(base)) for _ in range(20)]
+    texts = [" ".join(w) for words in orders for w in (words, [words[1], words[0], *words[2:]])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.doc_id for r in similar.drop_similar(docs).orderBy("doc_id").collect()] == list(range(0, 40, 2))
+
+
+def test_runs_are_never_cut():
+    keys = np.repeat(np.arange(5), [1, 4, 2, 9, 1])
+    batches = [pa.RecordBatch.from_arrays([pa.array(keys[i : i + 3])], names=["key"]) for i in range(0, len(keys), 3)]
+    lots = [lot[0] for lot in similar._runs(iter(batches))]
+    assert np.concatenate(lots).tolist() == keys.tolist()
+    assert all(a[-1] != b[0] for a, b in zip(lots, lots[1:]))
+
+
 def test_empty_table(spark):
     assert similar.drop_similar(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
