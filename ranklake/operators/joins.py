@@ -14,13 +14,16 @@ from ranklake.operators.normalize import is_done
 from ranklake.operators.skew import join_unique
 from ranklake.session import settle
 
+#: Known keys that an error names.
+_NAMED = 100
+
 
 def lookup(
     df: DataFrame, dim: DataFrame, on: str, value: str, dim_key: str | None = None, strict: bool = True
 ) -> DataFrame:
     """Add ``value`` of the dimension row with the same key.
 
-    An unknown key is an error that names the known ones, or gives ``''`` if not ``strict``.
+    An unknown key is an error that names the known ones (the first hundred), or gives ``''`` if not ``strict``.
     Facts often have few distinct keys here, so the join cuts hot keys into pieces; a dimension that
     Spark knows to be small, as it is written first, is broadcast instead of shuffled.
     """
@@ -30,11 +33,11 @@ def lookup(
     marked = side.withColumn("_dim_known", F.lit(True))
     joined = join_unique(keyed, marked, ["_dim_key"], "left", flat)
     if strict:
-        known = side.select("_dim_key").distinct()
-        names = known.agg(F.array_join(F.sort_array(F.collect_list(F.col("_dim_key").cast("string"))), ", "))
+        # A dimension may be large, so the message names its first keys only; finding them holds so many in a task.
+        few = side.select(F.col("_dim_key").cast("string").alias("name")).distinct().orderBy("name").limit(_NAMED)
         text = F.concat(
             F.lit(f"unknown {on}: "), F.coalesce(F.col(on).cast("string"), F.lit("NULL")),
-            F.lit("; known: "), F.coalesce(names.scalar(), F.lit("")),
+            F.lit("; known: "), F.coalesce(few.agg(F.array_join(F.sort_array(F.collect_list("name")), ", ")).scalar(), F.lit("")),
         )
         found = F.when(F.col("_dim_known").isNull(), F.raise_error(text)).otherwise(F.col("_dim_value"))
     else:

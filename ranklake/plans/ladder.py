@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ranklake.functions.dates import as_timestamp
 from ranklake.operators.grid import work_grid
 from ranklake.operators.joins import lookup, remaining
 from ranklake.operators.normalize import is_done, normalize_entries, outcome
-from ranklake.schemas import DAY, LADDER
+from ranklake.schemas import DAY, LADDER, LADDER_STORED
 from ranklake.session import settle
+from ranklake.sinks.items import clear_emptied, record_items, scan_items
 from ranklake.sinks.tables import conform, overwrite_partitions
 from ranklake.sources.pages import explode_entries, key_outcomes, pages_until_empty
 
@@ -54,10 +56,29 @@ def collect_ladder(
 ) -> DataFrame:
     """Write the ladder rows of the finished work items to ``out``; return the outcome of each item.
 
-    An item is written whole, in the folder of its day, or not at all. A repeated run replaces its own rows, and a
-    resumed one adds the items that were left. Files grow to Spark's advised size unless ``rows_per_file`` is given.
+    An item is written whole, in the folder of its day, or not at all. A repeated run replaces its own rows, also by
+    none where an item is empty now, and a resumed one adds the items that were left. Files grow to Spark's advised size unless ``rows_per_file`` is given.
     """
     outcomes = settle(ladder_outcomes(pages, apex), "ladder-outcomes")
     rows = ladder(finished_cells(pages, outcomes), finished_cells(apex, outcomes), platforms, ingested_at)
-    overwrite_partitions(rows.withColumn(DAY, F.to_date("_ingested_at")), out, FOLDERS, rows_per_file)
+    dated = rows.withColumn(DAY, F.to_date("_ingested_at"))
+    overwrite_partitions(dated, out, FOLDERS, rows_per_file)
+    record_items(_finished_items(dated, outcomes, platforms, ingested_at), out, FOLDERS, ingested_at)
+    clear_emptied(pages.sparkSession, out, LADDER_STORED, FOLDERS)
     return outcomes
+
+
+def _finished_items(rows: DataFrame, outcomes: DataFrame, platforms: DataFrame, ingested_at) -> DataFrame:
+    """The folder of each finished item, and whether it is ``empty``. Of the pages only the lists' sizes matter here."""
+    done = lookup(outcomes.where(is_done()).select(*CELL), platforms, "platform", "region", dim_key="id")
+    named = done.select(
+        F.to_date(as_timestamp(ingested_at)).alias(DAY), "region", "platform", F.upper("tier").alias("tier"),
+        F.coalesce(F.nullif("division", F.lit("")), F.lit("all")).alias("division"),
+    )
+    filled = rows.select(*FOLDERS, F.lit(False).alias("empty")).distinct()
+    return named.distinct().join(filled, FOLDERS, "left").withColumn("empty", F.coalesce("empty", F.lit(True)))
+
+
+def read_ladder(spark: SparkSession, path: str) -> DataFrame:
+    """Stored ladder rows, without those of items that a later run of the day found empty."""
+    return scan_items(spark, path, LADDER_STORED, FOLDERS)

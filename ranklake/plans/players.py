@@ -10,7 +10,8 @@ from ranklake.operators.dedup import dedup_best
 from ranklake.operators.filters import valid_key
 from ranklake.operators.joins import merge_state
 from ranklake.operators.summary import shard_counts
-from ranklake.schemas import DAY, LADDER_STORED, PLAYER_STATE, SHARDS
+from ranklake.plans.ladder import read_ladder
+from ranklake.schemas import DAY, PLAYER_STATE, SHARDS
 from ranklake.sinks.tables import conform, newest_state, write_state
 from ranklake.sources.parquet import last_shard_wins, scan_table
 
@@ -41,7 +42,7 @@ def run_players(
     ``days`` names the days of ingestion to read, all by default; the folders of others are not opened.
     """
     state = last_shard_wins(newest_state(spark, state_root, PLAYER_STATE, run), "puuid")
-    rows = scan_table(spark, ladder_path, LADDER_STORED)
+    rows = read_ladder(spark, ladder_path)
     planned = plan_players(rows if days is None else rows.where(F.col(DAY).isin(days)), state, shards)
     path = write_state(conform(planned, PLAYER_STATE), state_root, run)
     return shard_counts(scan_table(spark, path, PLAYER_STATE), shards)

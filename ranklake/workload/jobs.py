@@ -82,6 +82,23 @@ def ladder_job_repeated(spark, sf_dir):
     return parquet.scan_table(spark, out, LADDER_STORED).drop(DAY)
 
 
+@query(f"SELECT * FROM ({_LADDER}) WHERE platform NOT IN (SELECT n_name FROM nation WHERE n_nationkey % 2 = 0)")
+def ladder_job_emptied(spark, sf_dir):
+    """The ladder job twice: the second finds the items of every other platform empty, and rows of the first go."""
+    out, dim = scratch_path(spark, "ladder"), I.nations(spark, sf_dir)
+    pages, apex = I.ladder_pages(spark, sf_dir), I.apex_pages(spark, sf_dir)
+    ladder.collect_ladder(pages, apex, dim, out, I.STAMP)
+    gone = I.table(spark, sf_dir, "nation").where("n_nationkey % 2 = 0").select(F.col("n_name").alias("platform"), F.lit(True).alias("gone"))
+
+    def without(landed):
+        entries = F.when(F.col("gone"), F.array().cast(landed.schema["entries"].dataType)).otherwise(F.col("entries"))
+        status = F.when(F.col("gone"), 200).otherwise(F.col("status"))
+        return landed.join(gone, "platform", "left").withColumns({"entries": entries, "status": status}).select(*landed.columns)
+
+    ladder.collect_ladder(without(pages), without(apex), dim, out, I.STAMP)
+    return ladder.read_ladder(spark, out).drop(DAY)
+
+
 @query(
     f"""SELECT platform, tier, division, CASE WHEN failed_at < coalesce(empty_at, 1e9) THEN 'transient' ELSE 'ok' END AS outcome
         FROM ({_ENDS})

@@ -1,5 +1,5 @@
 import json
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -236,6 +236,36 @@ def test_a_second_day_leaves_the_files_of_the_first(spark, lake, rows):
     assert scan_table(spark, base, LADDER_STORED).count() == 2
 
 
+def test_an_item_that_is_empty_now_loses_its_rows(spark, rows, monkeypatch):
+    base = scratch_path(spark, "withdrawn")
+    none = spark.createDataFrame([], LADDER_PAGES)
+
+    def collect(entries, at, status=200):
+        pages = [("kr", "gold", "I", 1, status, None, entries), ("kr", "gold", "II", 1, 200, None, [entry("p9")])]
+        ladder.collect_ladder(spark.createDataFrame(pages, LADDER_PAGES), none, platforms(spark), base, at)
+
+    def stored(reader):
+        return rows(reader, "puuid", "_ingested_at")
+
+    plain = lambda: scan_table(spark, base, LADDER_STORED)
+    read = lambda: ladder.read_ladder(spark, base)
+    day, later = datetime(2024, 1, 5), datetime(2024, 1, 6)
+    collect([entry("p1"), entry("p2")], AT)
+    collect([entry("p1")], NEXT)
+    with monkeypatch.context() as m:  # dies between the record and the deletion
+        m.setattr(ladder, "clear_emptied", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            collect([], AT)
+    left = [("p1", later), ("p9", day), ("p9", later)]
+    assert stored(read()) == left and len(stored(plain())) == 5
+    collect(None, AT, 503)  # an item that failed keeps what is recorded
+    assert stored(read()) == left == stored(plain())
+    collect([entry("p3")], AT)  # of the same stamp as the record that it was empty
+    assert stored(read()) == stored(plain()) == sorted([*left, ("p3", day)])
+    collect(None, AT, 404)
+    assert stored(read()) == stored(plain()) == left
+
+
 def test_work_items_fill_the_tasks(spark):
     work = spark.range(5000).select(F.col("id").alias("n"))
     path = scratch_path(spark, "spread")
