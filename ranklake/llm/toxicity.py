@@ -2,8 +2,9 @@
 
 The models are over characters within words: the next character given up to six before it, the word's start
 included. Counts come from all labelled rows of the learning part. Each class discounts its own counts
-and backs off to one model shared by both, estimated from the pooled counts, with continuation counts
-below it. So a rare expression only moves as far as its discounted count carries it; one that was not seen
+and backs off to one model shared by both, estimated from the pooled counts. That model backs off to continuation
+counts (before how many characters an n-gram was seen) at every order below, down to a single character, and from there to all being
+equally likely. So a rare expression only moves as far as its discounted count carries it; one that was not seen
 after its context is judged by what each class keeps back for such, and after an unseen context it is equally likely to both.
 
 A text is scored by its log-likelihood ratio for each word and for the whole text, over its number of words, and by that of its
@@ -16,6 +17,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,8 @@ from ranklake.session import settle
 
 ORDER = 7
 DISCOUNT = 0.75
+#: Probability of a character where no order is left.
+UNIFORM = 1 / 64
 #: Tasks hold the log ratios of so many n-grams and contexts at most, of those counted most; the others are joined.
 HELD = 1 << 22
 #: At most so many labelled rows, by the hash of their ids, set the logistic fit. All are counted.
@@ -117,27 +121,58 @@ def _pieces(text: bytes) -> Iterator[bytes]:
         at = end
 
 
+def _shorter(gram: Column) -> Column:
+    """An n-gram without its first character."""
+    found = F.lit(0).cast("long")
+    for n in range(1, ORDER):
+        found = F.when(gram >= 1 << 8 * n, gram.bitwiseAND(F.lit((1 << 8 * n) - 1).cast("long"))).otherwise(found)
+    return found
+
+
+def lower_orders(counts: DataFrame) -> DataFrame:
+    """``short, lower``: probability of the last character of every n-gram that ends a longer one of ``counts``.
+
+    Kneser-Ney at each order: of the continuation counts after a context some is kept back for the next order's probability,
+    until the last order takes each character as equally likely. An order is written before the next one meets it.
+    """
+    ends = [F.col("gram").bitwiseAND(F.lit((1 << 8 * n) - 1).cast("long")) for n in range(1, ORDER + 1)]
+    kinds = counts.select(F.explode(F.array_distinct(F.array(*ends))).alias("gram")).distinct().where("gram > 255")
+    continued = kinds.groupBy(_shorter(F.col("gram")).alias("short")).agg(F.count("*").alias("before"))
+    continued = continued.withColumn("context", F.shiftright("short", 8))
+    totals = continued.groupBy("context").agg(F.sum("before").alias("all"), F.count("*").alias("kinds"))
+    terms = continued.join(totals, "context").select(
+        "short", sum((F.col("short") >= 1 << 8 * n).cast("int") for n in range(ORDER - 1)).alias("order"),
+        (F.greatest(F.col("before") - DISCOUNT, F.lit(0.0)) / F.col("all")).alias("own"),
+        (DISCOUNT * F.col("kinds") / F.col("all")).alias("kept_back"),
+    )
+    terms = settle(terms, "toxicity-orders")
+    orders: list[DataFrame] = []
+    for order in range(1, ORDER):
+        these = terms.where(F.col("order") == order)
+        if orders:
+            below = orders[-1].select(F.col("short").alias("next"), F.col("lower").alias("below"))
+            these = these.withColumn("next", _shorter(F.col("short"))).join(below, "next")
+        else:
+            these = these.withColumn("below", F.lit(UNIFORM))
+        lower = F.col("own") + F.col("kept_back") * F.col("below")
+        orders.append(settle(these.select("short", lower.alias("lower")), "toxicity-order"))
+    return reduce(DataFrame.unionByName, orders)
+
+
 def log_ratios(counts: DataFrame) -> DataFrame:
     """``gram, ratio, n``: log of toxic over ordinary probability of each n-gram's last character.
 
     ``counts`` has ``gram, ordinary, toxic``, a row per n-gram. All sums are by context, so the hottest
     group is as large as the alphabet.
     """
-    last, low = F.shiftright("gram", 8), (1 << 8 * (ORDER - 1)) - 1
-    shorter = F.when(F.shiftright("gram", 8 * (ORDER - 1)) > 0, F.col("gram").bitwiseAND(F.lit(low))).otherwise(F.col("gram"))
-    counts = counts.select("gram", "ordinary", "toxic", last.alias("context"), shorter.alias("short"))
+    grams = counts.select("gram", "ordinary", "toxic", F.shiftright("gram", 8).alias("context"), _shorter(F.col("gram")).alias("short"))
     seen = lambda c: F.sum((F.col(c) > 0).cast("long"))
-    contexts = counts.groupBy("context").agg(
+    contexts = grams.groupBy("context").agg(
         F.sum("ordinary").alias("o_all"), F.sum("toxic").alias("t_all"),
         seen("ordinary").alias("o_types"), seen("toxic").alias("t_types"), F.count("*").alias("types"),
     )
-    continued = counts.groupBy("short").agg(F.count("*").alias("before")).withColumn("context", F.shiftright("short", 8))
-    below = continued.groupBy("context").agg(F.sum("before").alias("all"), F.count("*").alias("kinds"))
+    joined = grams.join(contexts, "context").join(lower_orders(counts), "short")
     d = DISCOUNT
-    uniform = 1.0 / 64
-    lower = (F.greatest(F.col("before") - d, F.lit(0.0)) + d * F.col("kinds") * uniform) / F.col("all")
-    shorts = continued.join(below, "context").select("short", lower.alias("lower"))
-    joined = counts.join(contexts, "context").join(shorts, "short")
     n = F.col("ordinary") + F.col("toxic")
     shared = (F.greatest(n - d, F.lit(0.0)) + d * F.col("types") * F.col("lower")) / (F.col("o_all") + F.col("t_all"))
 
@@ -352,7 +387,7 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     """Count all labelled rows of the learning part (``crc32(id) mod 4`` other than 2), whole texts, and fit the scores.
 
     Texts meet their labels in a shuffle, compressed; only the labels of a partition are held in memory.
-    Rows of remainder 3 set the logistic fit, at most ``CALIBRATION_ROWS`` of them, with models of the others. A document
+    Ids of remainder 3 set the logistic fit, at most ``CALIBRATION_ROWS`` of them, each by one text, with models of the others. A document
     with several labels is toxic if one says so; a null label is none. Without both classes the
     score is the share of toxic rows, or 0.
     """
@@ -375,6 +410,7 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     late = marks.where(_part(F.col("doc_id")) == 3).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS)
     rows = texts.join(F.broadcast(settle(late, "toxicity-late")), "doc_id")
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # of a repeated id, the text that sorts first
     fit = measured(rows.select("toxic", "text"), before).toPandas()
     y = fit["toxic"].to_numpy(float)
     x = np.array(fit["measures"].tolist()).reshape(-1, 4)

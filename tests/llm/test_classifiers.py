@@ -76,14 +76,21 @@ def test_log_ratios_against_plain(spark):
     every = sorted(set(count[0]) | set(count[1]))
     frame = spark.createDataFrame([(number(g), count[0][g], count[1][g]) for g in every], "gram long, ordinary long, toxic long")
     found = {r.gram: r.ratio for r in toxicity.log_ratios(frame).collect()}
-    d, cut = toxicity.DISCOUNT, lambda g: g[1:] if len(g) == 7 else g
-    before = Counter(cut(g) for g in every)
+    d = toxicity.DISCOUNT
+    kinds = {g[i:] for g in every for i in range(len(g))}  # of every order
+
+    def low(g):
+        """Probability of the last character, from how many characters stand before each n-gram."""
+        if not g:
+            return 1 / 64
+        before = lambda h: len({k for k in kinds if k[1:] == h})
+        same = [h for h in kinds if h[:-1] == g[:-1] and len(h) == len(g) and before(h)]
+        return (max(before(g) - d, 0) + d * len(same) * low(g[1:])) / sum(map(before, same))
+
     for g in every:
         same = [h for h in every if h[:-1] == g[:-1] and len(h) == len(g)]
-        short = [h for h in before if h[:-1] == cut(g)[:-1] and len(h) == len(cut(g))]
-        low = (max(before[cut(g)] - d, 0) + d * len(short) / 64) / sum(before[h] for h in short)
         n = lambda h: count[0][h] + count[1][h]
-        shared = (max(n(g) - d, 0) + d * len(same) * low) / sum(map(n, same))
+        shared = (max(n(g) - d, 0) + d * len(same) * low(g[1:])) / sum(map(n, same))
 
         def of(c):
             total, kinds = sum(c[h] for h in same), sum(c[h] > 0 for h in same)
