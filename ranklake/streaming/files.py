@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ranklake.functions.hashing import shard_of
 from ranklake.operators.joins import mark
 from ranklake.plans.registry import ledger_rows, read_ledger
+from ranklake.sinks import versions
 from ranklake.sinks.tables import append, newest_state, write_state
 from ranklake.sources.parquet import scan_table
 
@@ -69,6 +71,32 @@ def mark_state(
     return step
 
 
+def mark_shards(
+    root: str,
+    schema: StructType,
+    key: str,
+    values: dict,
+    shards: int,
+    spread: list[str] | None = None,
+    shard: str = "shard_id",
+) -> Callable:
+    """As ``mark_state``, but a batch reads and writes only the shards of the keys that arrive.
+
+    A key's shard must be that of ``assign_shard`` over ``shards``; null and unknown keys change nothing. Read the state with ``versions.read_shards``.
+    """
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark, run = batch.sparkSession, f"batch-{batch_id:012d}"
+        keys = batch.select(key).where(F.col(key).isNotNull()).distinct()
+        known = versions.pointers(spark, root, shard, run)
+        arrived = [s for s in versions.touched(keys, shard_of(key, shards)) if s in known]
+        if arrived:
+            state = versions.read_shards(spark, root, schema, arrived, shard, run)
+            versions.write_shards(mark(state, keys, key, values, spread), root, run, arrived, shard)
+
+    return step
+
+
 def register_arrivals(ledger_path: str, table: str, registered_at) -> Callable:
     """Batch step: enter each arriving file with its row count into the file ledger.
 

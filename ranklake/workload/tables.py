@@ -13,9 +13,9 @@ from ranklake.functions import hashing
 from ranklake.operators import numbering, summary
 from ranklake.operators.normalize import classify, normalize_entries
 from ranklake.plans import registry
-from ranklake.schemas import FLUSH_BYTES, LADDER_PAGES, ROWS_PER_GROUP
+from ranklake.schemas import FLUSH_BYTES, LADDER_PAGES, ROWS_PER_GROUP, SHARDS
 from ranklake.session import scratch_path
-from ranklake.sinks import resume, staging, tables
+from ranklake.sinks import resume, staging, tables, versions
 from ranklake.sources import files, pages, parquet
 from ranklake.streaming import files as streams
 from ranklake.workload import Registry
@@ -322,6 +322,27 @@ def stream_state(spark, sf_dir):
     return tables.newest_state(spark, f"{base}/state", state.schema).select("puuid", "last_read")
 
 
+@query(
+    f"""SELECT puuid, CASE WHEN puuid IN (SELECT CAST(user_id AS VARCHAR) FROM events
+          WHERE event_type = 'purchase' AND value > 60) THEN {I.SQL_AS_OF} ELSE last_read END AS last_read
+        FROM ({I.PLAYER_STATE})"""
+)
+def stream_state_shards(spark, sf_dir):
+    """Read dates moved by arriving purchases, where a batch rewrites only the shards that it touches."""
+    base = scratch_path(spark, "stream-shards")
+    state = hashing.assign_shard(I.player_state(spark, sf_dir), "puuid")
+    tables.write_state(state, f"{base}/state", "000")
+    done = (
+        _events_stream(spark, sf_dir)
+        .where((F.col("event_type") == "purchase") & (F.col("value") > 60))
+        .select(F.col("user_id").cast("string").alias("puuid"))
+    )
+    values = {"last_read": F.lit(I.AS_OF).cast("date")}
+    step = streams.mark_shards(f"{base}/state", state.schema, "puuid", values, SHARDS)
+    streams.run_to_end(done, step, f"{base}/checkpoint")
+    return versions.read_shards(spark, f"{base}/state", state.schema).select("puuid", "last_read")
+
+
 @query("SELECT 'events' AS table_name, CAST(1 AS BIGINT) AS snapshot_id, count(*) AS record_count FROM events")
 def stream_register(spark, sf_dir):
     """Arriving files entered into the ledger, once."""
