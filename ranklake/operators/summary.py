@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ranklake.operators.normalize import is_done
 from ranklake.schemas import RETRY_DEFAULT_SECONDS, RETRY_MARGIN_SECONDS, SHARDS
@@ -39,6 +43,36 @@ def run_summary(stages: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+class RunCounts:
+    """Rows of a job's stages, counted while the job writes them: no scan, and no Spark job, of their own.
+
+    A stage is watched on top of what is written, after the last shuffle, where the rows of a task that ran twice count once.
+    """
+
+    _ROWS = StructType().add("stage", "string").add("name", "string").add("rows", "long")
+
+    def __init__(self) -> None:
+        self._seen: dict[str, Observation] = {}
+
+    def at(self, stage: str, **more: Column) -> Callable[[DataFrame], DataFrame]:
+        """A step that counts the rows of a frame, and what else is asked of them, when they are written."""
+
+        def watch(df: DataFrame) -> DataFrame:
+            self._seen[stage] = Observation(f"{stage}-{uuid.uuid4().hex}")
+            return df.observe(self._seen[stage], F.count(F.lit(1)).alias("rows"), *(c.alias(n) for n, c in more.items()))
+
+        return watch
+
+    def totals(self) -> dict[str, dict[str, int]]:
+        """Counts by stage, once the job has returned."""
+        return {stage: dict(seen.get) for stage, seen in self._seen.items()}
+
+    def summary(self, spark: SparkSession) -> DataFrame:
+        """``stage, name, rows``, zeros included."""
+        found = [(stage, name, n) for stage, counts in self.totals().items() for name, n in counts.items()]
+        return spark.createDataFrame(found, self._ROWS)
+
+
 def resume_plan(outcomes: DataFrame) -> DataFrame:
     """One row: was the run rate-limited, how many items are left, and how long to wait."""
     limited = F.count_if(F.col("outcome") == "rate_limited") > 0

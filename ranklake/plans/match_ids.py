@@ -14,7 +14,7 @@ from ranklake.operators.filters import due, is_due
 from ranklake.operators.increment import increment
 from ranklake.operators.joins import existing_keys, remaining
 from ranklake.operators.normalize import id_records, is_done, outcome
-from ranklake.operators.summary import resume_plan
+from ranklake.operators.summary import RunCounts, resume_plan
 from ranklake.operators.work import advance, map_work
 from ranklake.schemas import DAY, IDS_PER_PLAYER, MATCH_IDS, PLAYER_STATE, SHARDS
 from ranklake.session import settle
@@ -65,16 +65,20 @@ def run_ids(
     ingested_at,
     shards: int = SHARDS,
     cap: int = IDS_PER_PLAYER,
+    counts: RunCounts | None = None,
 ) -> DataFrame:
     """Append the new ids to ``table``, advance the read dates, and return the resume plan.
 
     Rows are appended before the state moves on. If the run stops in between, even half-way through
     the append, running it again with the same ``ingested_at`` adds what is missing and nothing twice: rows of
     that stamp do not end a list, and rows that are stored already are left out.
+
+    ``counts`` takes the run's counts: ``outcomes`` (those ``done`` too), ``new`` ids, and the ``state`` (rows still ``due`` too).
     """
+    counts = counts or RunCounts()
     journal.recover(spark, table)
     state = last_shard_wins(newest_state(spark, state_root, PLAYER_STATE, run), "puuid")
-    outcomes = settle(outcomes, "id-outcomes")
+    outcomes = settle(counts.at("outcomes", done=F.count_if(is_done()))(outcomes), "id-outcomes")
     readers = due(state, as_of).join(outcomes.where(is_done()).select("puuid"), "puuid", "left_semi")
     own = F.col("_ingested_at").eqNullSafe(as_timestamp(ingested_at)).alias("_own")
     pairs = scan_table(spark, table, STORED).select("puuid", "match_id", own)
@@ -84,10 +88,11 @@ def run_ids(
     held = stored.select("puuid", "match_id").distinct()
     fresh = fresh.join(held, ["puuid", "match_id"], "left_anti").select(*fresh.columns)
     rows = assign_shard(conform(fresh, MATCH_IDS), "puuid", shards).withColumn(DAY, F.to_date("_ingested_at"))
-    append(rows.hint("rebalance", *FOLDERS).sortWithinPartitions(*FOLDERS, "puuid"), table, FOLDERS)
+    sorted_rows = rows.hint("rebalance", *FOLDERS).sortWithinPartitions(*FOLDERS, "puuid")
+    append(counts.at("new")(sorted_rows), table, FOLDERS)
     read_now = F.when(is_due(as_of), as_date(as_of)).otherwise(F.col("last_read"))
     moved = advance(state, outcomes, "puuid", {"last_read": read_now})
-    write_state(conform(moved, PLAYER_STATE), state_root, run)
+    write_state(conform(moved, PLAYER_STATE), state_root, run, seen=counts.at("state", due=F.count_if(is_due(as_of))))
     return resume_plan(outcomes)
 
 

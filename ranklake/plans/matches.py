@@ -16,7 +16,7 @@ from ranklake.operators.joins import new_files
 from ranklake.operators.normalize import classify, is_done, normalize_match, parse_match
 from ranklake.operators.numbering import rows_per_file
 from ranklake.operators.propagate import last_listings, propagate
-from ranklake.operators.summary import resume_plan, shard_counts
+from ranklake.operators.summary import RunCounts, resume_plan, shard_counts
 from ranklake.operators.work import advance, map_work
 from ranklake.plans.match_ids import FOLDERS as LISTING_FOLDERS
 from ranklake.plans.match_ids import STORED
@@ -132,6 +132,7 @@ def run_matches(
     ingested_at,
     scope: str = "all",
     log: bool = False,
+    counts: RunCounts | None = None,
 ) -> DataFrame:
     """Append match rows, flag state and listings, and return the resume plan.
 
@@ -141,10 +142,16 @@ def run_matches(
 
     With ``log`` no old file is rewritten: the flags are written beside the listings (``read_listings`` sees them) and
     the finished ids beside the state, until ``compact_matches`` folds them in.
+
+    ``counts`` takes the pending matches of the run (``work``; those ``done`` and ``ok`` too), the ``new`` rows and, without ``log``,
+    those of the ``state`` (``finished`` ones too).
     """
+    counts = counts or RunCounts()
     journal.recover(spark, listings_table)
     state = read_match_state(spark, state_root, run) if log else newest_state(spark, state_root, MATCH_STATE, run)
-    judged = settle(judge_replies(match_work(state), conform(replies, MATCH_REPLIES)), "match-replies")
+    judged = judge_replies(match_work(state), conform(replies, MATCH_REPLIES))
+    kinds = {"done": F.count_if(is_done()), "ok": F.count_if(F.col("outcome") == "ok")}
+    judged = settle(counts.at("work", **kinds)(judged), "match-replies")
     rows = match_rows(judged, ingested_at)
     # A match is stored under its day, so only the days of the new rows are read.
     dated = StructType([*MATCHES.fields])
@@ -153,7 +160,7 @@ def run_matches(
     days = settle(rows.select(*DAYS).distinct(), "match-days")
     known = scan_table(spark, table, dated).select("match_id", *DAYS).join(days, list(DAYS), "left_semi")
     rows = rows.join(known, ["match_id", *DAYS], "left_anti").select(*rows.columns)
-    write_partitioned(rows, table, FOLDERS, rows_per_file(FLUSH_BYTES["matches"]))
+    write_partitioned(rows, table, FOLDERS, rows_per_file(FLUSH_BYTES["matches"]), seen=counts.at("new"))
     done = judged.where(is_done()).select("match_id")
     order = ["source_file_path", "source_row"] if scope == "last" else []
     if log:
@@ -171,7 +178,8 @@ def run_matches(
             listings = scan_table(spark, listings_table, STORED)
         propagate(listings, done, listings_table, "match_id", LISTING_FOLDERS, ["puuid"], scope, order)
         moved = advance(state, judged, "match_id", {"is_ingested": 1}, ["puuid", "source_file_path"])
-        write_state(conform(moved, MATCH_STATE), state_root, run)
+        finished = counts.at("state", finished=F.count_if(F.col("is_ingested") == 1))
+        write_state(conform(moved, MATCH_STATE), state_root, run, seen=finished)
     plan = resume_plan(judged)
     return spark.createDataFrame([plan.first()], plan.schema)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -14,6 +16,10 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema])
 
 
+def _as_is(df: DataFrame) -> DataFrame:
+    return df
+
+
 def append(df: DataFrame, path: str, by: list[str] = ()) -> None:
     """Add files to a table. Their names never clash with those of another run."""
     df.write.mode("append").partitionBy(*by).parquet(path)
@@ -37,13 +43,15 @@ def write_partitioned(
     rows_per_file: int = 0,
     rows_per_group: int | None = None,
     mode: str = "append",
+    seen: Callable[[DataFrame], DataFrame] = _as_is,
 ) -> None:
     """Write one folder per value of ``by``, with few files per folder and bounded rows per file.
 
     ``rows_per_group`` limits the rows of a row group, for readers that hold a group in memory.
     Left out, groups grow to Spark's default size, which scans faster.
+    ``seen`` is applied to the rows as they are written, to count them.
     """
-    writer = _grouped(df, by).write.mode(mode).option("maxRecordsPerFile", rows_per_file)
+    writer = seen(_grouped(df, by)).write.mode(mode).option("maxRecordsPerFile", rows_per_file)
     if rows_per_group:
         writer = writer.option("parquet.block.row.count.limit", rows_per_group)
     writer.partitionBy(*by).parquet(path)
@@ -53,10 +61,12 @@ def write_partitioned(
 # its own, and readers take the newest complete one, so a failed run leaves the old state whole.
 
 
-def write_state(df: DataFrame, root: str, run: str, by: list[str] = ("shard_id",)) -> str:
+def write_state(
+    df: DataFrame, root: str, run: str, by: list[str] = ("shard_id",), seen: Callable[[DataFrame], DataFrame] = _as_is
+) -> str:
     """Write the state of ``run``. Run names must sort in time order; a repeated run replaces its own folder."""
     path = f"{root}/run={run}"
-    _grouped(df, list(by)).write.mode("overwrite").partitionBy(*by).parquet(path)
+    seen(_grouped(df, list(by))).write.mode("overwrite").partitionBy(*by).parquet(path)
     return path
 
 

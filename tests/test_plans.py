@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
+from ranklake.operators.summary import RunCounts
 from ranklake.operators.work import advance, map_work
 from ranklake.plans import ladder, match_ids, matches, players, registry
 from ranklake.schemas import (
@@ -108,7 +109,12 @@ def test_match_jobs_from_ids_to_details(spark, lake, rows):
 
     # First day: two players are read to the end, one is rate-limited.
     ids = id_list(spark, {"p1": [("m2", 5), ("m1", 4)], "p2": [("m2", 5)]})
-    plan = match_ids.run_ids(spark, state, ids, ok, table, "2024-01-05b", "2024-01-05", AT)
+    counts = RunCounts()
+    plan = match_ids.run_ids(spark, state, ids, ok, table, "2024-01-05b", "2024-01-05", AT, counts=counts)
+    spark.sparkContext.setJobGroup("totals", "counts are there without a job")
+    assert counts.totals() == {"outcomes": {"rows": 3, "done": 2}, "new": {"rows": 2}, "state": {"rows": 3, "due": 1}}
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("totals")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert tuple(plan.first()) == ("RATE_LIMITED", 2, 1, 11.0)
     stored = scan_table(spark, table, match_ids.STORED)
     assert rows(stored, "match_id", "puuid", "is_ingested", "region", "platform") == [
@@ -144,7 +150,12 @@ def test_match_jobs_from_ids_to_details(spark, lake, rows):
         [("m1", 404, None, None), ("m2", 200, None, body), ("m3", 429, "2", None), ("other", 200, None, body)],
         "match_id string, status int, retry_after string, body string",
     )
-    plan = matches.run_matches(spark, root, replies, details, table, "2", AT)
+    counts = RunCounts()
+    plan = matches.run_matches(spark, root, replies, details, table, "2", AT, counts=counts)
+    assert rows(counts.summary(spark)) == [
+        ("new", "rows", 1), ("state", "finished", 3), ("state", "rows", 4),
+        ("work", "done", 2), ("work", "ok", 1), ("work", "rows", 3),
+    ]
     assert tuple(plan.first()) == ("RATE_LIMITED", 2, 1, 4.0)
     schema = StructType([*MATCHES.fields])
     for name in ("year", "month", "date"):
