@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Runs of ASCII white space, and of anything else. Fixed values.
@@ -48,10 +48,8 @@ def unused(df: DataFrame, *names: str) -> list[str]:
 
 
 def first_of(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """One row of each key: used where rows of a key are the same, and already lie together."""
-    (name,) = unused(rows, "of_key")
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
-    return rows.withColumn(name, place).where(F.col(name) == 1).drop(name)
+    """One row of each key: used where rows of a key are the same, and already lie together and in order, so nothing is sorted again."""
+    return rows.dropDuplicates(keys)
 
 
 def dense_table(cells: DataFrame, size_log: int, dtype: str) -> np.ndarray:

@@ -18,7 +18,9 @@ PREFIX = 64
 
 
 def normalised(name: str) -> Column:
-    return F.regexp_replace(present(name), SPACES, " ")
+    # Most texts have single blanks only and are not made anew.
+    text = present(name)
+    return F.when(text.rlike(r"[\x09-\x0D]|\x20\x20"), F.regexp_replace(text, SPACES, " ")).otherwise(text)
 
 
 def mark_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", digest_all: bool = False, row: str | None = None) -> DataFrame:

@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from ranklake.llm.common import present
+from ranklake.llm.common import present, unused
 from ranklake.session import settle
 
 #: Families of languages that are often mistaken for each other. A language not listed is a family of its own.
@@ -146,10 +147,11 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = sorted((lang, x) for batch in batches for lang, x in zip(batch["lang"].to_pylist(), batch["x"].to_pylist()))
-    if rows:
-        x = np.frombuffer(b"".join(x for _, x in rows), np.float32).reshape(len(rows), WIDTH).astype(np.float64)
-        model = pickle.dumps(train(x, np.array([lang for lang, _ in rows])))
+    rows = pa.Table.from_batches(batches, pa.schema([("lang", pa.string()), ("x", pa.binary())]))
+    if len(rows):
+        rows = rows.sort_by([("lang", "ascending"), ("x", "ascending")])
+        x = np.concatenate([np.frombuffer(v.as_buffer(), np.float32) for v in rows["x"]]).reshape(len(rows), WIDTH).astype(np.float64)
+        model = pickle.dumps(train(x, np.array(rows["lang"].to_pylist())))
         yield pa.RecordBatch.from_pydict({"model": pa.array([model], pa.binary())})
 
 
@@ -185,15 +187,19 @@ def identify(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text:
     every text if there was nothing to learn from. Long texts are read in pieces, whole. Repeated rows stay;
     an empty table gives no rows; other columns are ignored.
     """
+    lettered = F.col(text).rlike(_LETTER)
+    # A text that is kept goes to the tasks once.
+    shared = text in keep and docs.schema[text].dataType == StringType()
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), held_out(F.col(doc_id)).alias("held_out"),
-        F.when(F.col(text).rlike(_LETTER), F.col(text)).cast("binary").alias("_text"), *keep,
+        (lettered if shared else F.when(lettered, F.col(text)).cast("binary")).alias("_text"), *keep,
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            body, usable = (batch[text].cast(pa.binary()), batch["_text"].fill_null(False)) if shared else (batch["_text"], batch["_text"].is_valid())
             found = [
-                model.predict(t.as_py()) if model and t.is_valid else (UNKNOWN, 0.0) for t in batch["_text"]
+                model.predict(t.as_py()) if model and u else (UNKNOWN, 0.0) for t, u in zip(body, usable.to_pylist())
             ]
             arrays = [batch["doc_id"], batch["held_out"], pa.array([f[0] for f in found]), pa.array([f[1] for f in found], pa.float64())]
             arrays += [batch[c] for c in keep]
@@ -205,6 +211,6 @@ def identify(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text:
 
 def drop_unknown(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows whose language could be told. Same columns."""
-    named = docs.withColumn("_whole", F.struct(*docs.columns))
-    kept = identify(named, model, doc_id, text, keep=("_whole",)).where(F.col("lang_pred") != UNKNOWN)
-    return kept.select("_whole.*")
+    own = dict(zip(docs.columns, unused(docs, *(f"c{i}" for i in range(len(docs.columns))))))
+    kept = identify(docs.toDF(*own.values()), model, own[doc_id], own[text], keep=tuple(own.values()))
+    return kept.where(F.col("lang_pred") != UNKNOWN).select(*own.values()).toDF(*own)

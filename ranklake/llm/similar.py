@@ -1,21 +1,23 @@
-"""Near-duplicate texts by the overlap of their five-word shingles, found with SimHash and Golay keys.
+"""Near-duplicate texts by the overlap of their five-word shingles: all pairs, joined in two steps.
 
 Fingerprints over shingles of several words move far apart by few edits: at an overlap of 0.8 they
 differ in about nine of 64 bits. Fingerprints over single words, each weighed by the root of its
 count, stay within a few bits there, while unrelated texts are about 30 bits apart. So several of them, from different seeds, give
-the candidates: pairs that differ in at most three bits of any one, met under Golay keys as in ``simhash``.
-Every candidate pair is then checked on the sets of its shingles, and only pairs that pass are links.
-
-A run of over 64 fingerprints under one key gives the pairs of a spanning forest instead of all. A fingerprint is first compared
-with the three nearest of those below it, and documents of one fingerprint with two of them, which links most of a large group. What has met
-others besides is then compared with all of them that these links have not joined to it. So the work in a group of near copies grows with
-its size and not with its square, and neither limit costs a link. Only texts that share a fingerprint and do not overlap are all compared.
+the first candidates: pairs that differ in at most three bits of any one, met under Golay keys as in ``simhash``. A run of over 64
+fingerprints under one key gives the pairs of a spanning forest, a fingerprint is compared with the three nearest of those
+below it, and documents of one fingerprint with two of them. This links most of a large group with work that grows with its size.
+
+What these links leave apart is then joined without loss. Shingles are put in one order, from seldom to frequent, and two
+texts that share enough of them share one of the first few of each (a prefix filter). Texts of different roots that meet under such a
+shingle, and whose places in the order leave room for the overlap, are candidates too. The order only sets the work, not the result.
+Every candidate pair is checked on the sets of its shingles, and only pairs that pass are links.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +25,9 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ranklake.llm.common import first_of, key_of, present, unused
+from ranklake.llm.common import dense_table, first_of, key_of, present, unused
 from ranklake.llm.components import components
-from ranklake.llm.simhash import BITS, key_rows, near_links
+from ranklake.llm.simhash import near_links
 from ranklake.session import settle
 
 SHINGLE, SIMILARITY, PRINTS = 5, 0.8, 4
@@ -33,7 +35,10 @@ SHINGLE, SIMILARITY, PRINTS = 5, 0.8, 4
 NEAREST = 3
 #: One word is more of a short text, and moves more bits: up to so many words a text has so many times the fingerprints.
 SHORT = ((16, 8), (32, 6), (96, 2))
-_REMEMBERED = 500_000
+_REMEMBERED = 100_000
+#: Shingles are counted by so many bits of their hash. A run of rows up to this length is compared step by step.
+_COUNTED, _LONG = 18, 64
+_SLACK = 1e-6
 _WORDS: dict[bytes, int] = {}
 
 
@@ -115,11 +120,49 @@ def _alike(similarity: float):
     return run
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def prefix(n: int, similarity: float) -> int:
+    """Of ``n`` shingles in a common order, how many must be looked at: a text alike shares one of its own first few with them."""
+    return n - ceil(similarity * n - _SLACK) + 1 if n else 0
+
+
+def _counts(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << _COUNTED, np.int64)
+        for batch in batches:
+            for t in batch["text"]:
+                np.add.at(counts, (shingle_set(t.as_py(), shingle) >> np.uint64(64 - _COUNTED)).astype(np.int64), 1)
+        place = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(counts[place])], names=["place", "value"])
+
+    return run
+
+
+def _prefixed(shingle: int, similarity: float, counts: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, firsts = [], []
+            for t in batch["text"]:
+                own = shingle_set(t.as_py(), shingle)
+                order = np.lexsort((own, counts[(own >> np.uint64(64 - _COUNTED)).astype(np.int64)]))
+                sizes.append(len(own))
+                firsts.append(own[order[: prefix(len(own), similarity)]].tobytes())
+            yield pa.RecordBatch.from_arrays([batch["node"], pa.array(sizes, pa.int32()), pa.array(firsts, pa.binary())], names=["node", "size", "firsts"])
+
+    return run
+
+
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of a prefix; one of key 0 for a text without words."""
     for batch in batches:
-        keys, places = key_rows(batch["fp"].to_numpy())
-        taken = pa.array(places)
-        yield pa.RecordBatch.from_arrays([pa.array(keys), *(c.take(taken) for c in batch.columns)], names=["key", *batch.schema.names])
+        for at in range(0, len(batch), 256):
+            part = batch.slice(at, 256)
+            firsts = [np.frombuffer(f.as_py(), np.int64) if f.as_py() else np.zeros(1, np.int64) for f in part["firsts"]]
+            if not firsts:
+                continue
+            taken = pa.array(np.repeat(np.arange(len(firsts)), [len(f) for f in firsts]))
+            places = pa.array(np.concatenate([np.arange(len(f), dtype=np.int32) for f in firsts]))
+            columns = [pa.array(np.concatenate(firsts)), *(part[c].take(taken) for c in ("node", "root", "size")), places]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "node", "root", "size", "place"])
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -138,29 +181,59 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         yield held
 
 
-def _across(close: bool):
-    """All pairs of a key but those that share a root; with ``close``, only fingerprints of few different bits.
+def meeting(lot: list[np.ndarray], similarity: float, most: int = 1 << 17) -> Iterator[np.ndarray]:
+    """Pairs, in two rows and bounded lots, of the nodes of different roots that meet under a key and may be alike.
 
-    What has the commonest root of a run is only compared with what has not, so a group that is linked already costs nothing.
+    ``lot`` has keys, nodes, roots, sizes and places, sorted by key, and no key goes on outside. If the key is the first shingle of
+    both texts' orders that they share, the overlap lies in what comes after it in both, so a pair without room for it is none.
+    What has the commonest root of a long run is only compared with what has not, so a group that is linked already costs nothing.
     """
-
+    keys, nodes, roots, sizes, places = lot
+    none = sizes == 0
+    if none.any():  # texts without words are alike
+        yield np.stack([nodes[none], np.full(none.sum(), nodes[none].min())])
+        keys, nodes, roots, sizes, places = (c[~none] for c in lot)
+    if not len(keys):
+        return
+    share = similarity / (1 + similarity)
+    room = sizes - places
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    lengths = np.diff(np.r_[starts, len(keys)])
+    apart = np.minimum.reduceat(roots, starts) != np.maximum.reduceat(roots, starts)
+    out, held = [], 0
+    for s, n in zip(starts[apart & (lengths > _LONG)], lengths[apart & (lengths > _LONG)]):
+        node, root, size, left = (c[s : s + n] for c in (nodes, roots, sizes, room))
+        kinds, counts = np.unique(root, return_counts=True)
+        common = kinds[counts.argmax()]
+        for i in np.flatnonzero(root != common):
+            able = (root != root[i]) & (np.minimum(left, left[i]) >= share * (size + size[i]) - _SLACK)
+            # Two of the rest meet twice; the later one finds the pair.
+            able[i:] &= root[i:] == common
+            out.append(np.stack([node[able], np.full(able.sum(), node[i])]))
+            held += out[-1].shape[1]
+            if held >= most:
+                yield np.concatenate(out, axis=1)
+                out, held = [], 0
+    if held:
+        yield np.concatenate(out, axis=1)
+    short = np.repeat(apart & (lengths <= _LONG), lengths)
+    keys, nodes, roots, sizes, room = (c[short] for c in (keys, nodes, roots, sizes, room))
+    for step in range(1, min(_LONG, len(keys))):
+        one = np.flatnonzero(keys[step:] == keys[:-step])
+        if not len(one):
+            break
+        two = one + step
+        able = (roots[one] != roots[two]) & (np.minimum(room[one], room[two]) >= share * (sizes[one] + sizes[two]) - _SLACK)
+        yield np.stack([nodes[one[able]], nodes[two[able]]])
+
+
+def _met(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, items, roots, sole in _runs(batches):
-            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-            ends = np.r_[starts[1:], len(keys)]
-            joined = np.logical_and.reduceat(sole, starts) & (np.minimum.reduceat(roots, starts) == np.maximum.reduceat(roots, starts))
-            for s, e in zip(starts[~joined], ends[~joined]):
-                item, root, one = items[s:e], roots[s:e], sole[s:e]
-                kinds, counts = np.unique(root[one], return_counts=True)
-                outside = ~one | (root != kinds[counts.argmax()]) if len(kinds) else ~one
-                for i in np.flatnonzero(outside):
-                    apart = (root != root[i]) | ~one if one[i] else item != item[i]
-                    if close:
-                        apart &= np.bitwise_count((item ^ item[i]).view(np.uint64)) <= BITS
-                    other = item[apart]
-                    if len(other):
-                        pair = [pa.array(np.maximum(other, item[i])), pa.array(np.minimum(other, item[i]))]
-                        yield pa.RecordBatch.from_arrays(pair, names=["a", "b"])
+        for lot in _runs(batches):
+            for pairs in meeting(lot, similarity):
+                if pairs.size:
+                    pairs = np.unique(np.stack([pairs.max(axis=0), pairs.min(axis=0)]), axis=1)
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["node", "other"])
 
     return run
 
@@ -171,24 +244,15 @@ def _ranked(ends: DataFrame) -> DataFrame:
     return settle(near_links(ends).withColumn("place", F.row_number().over(nearest)), "similar-links")
 
 
-def _unjoined(own: DataFrame, ranked: DataFrame, linked: DataFrame, ends: DataFrame) -> DataFrame:
-    """``node, other``: what meets and was not compared, and ``linked`` leaves apart.
-
-    That is documents of one fingerprint, and those of close fingerprints with more partners than ``NEAREST``.
-    """
-    held = own.join(linked, "node", "left").select("fp", "node", F.coalesce("root", "node").alias("root"))
-    labelled = held.groupBy("fp").agg(F.min("root").alias("root"), (F.min("root") == F.max("root")).alias("sole"))
-    labelled = settle(labelled, "similar-labelled")
-    within = held.join(labelled.where("not sole").select("fp"), "fp", "left_semi").withColumn("sole", F.lit(True))
-    rest = ranked.where(F.col("place") > NEAREST).select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-    rest = labelled.join(settle(rest, "similar-rest"), "fp", "left_semi")
-
-    def apart(rows: DataFrame, key: str, close: bool) -> DataFrame:
-        return rows.repartition(key).sortWithinPartitions(key).mapInArrow(_across(close), "a long, b long").distinct()
-
-    keyed = rest.mapInArrow(_keyed, "key long, fp long, root long, sole boolean")
-    between = _nodes(settle(apart(keyed, "key", True), "similar-between"), ends)
-    return apart(within, "fp", False).toDF("node", "other").unionByName(between)
+def _unjoined(texts: DataFrame, linked: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """``node, other``: what may be alike and ``linked`` leaves apart. No pair that is alike is missing."""
+    cells = texts.select("text").mapInArrow(_counts(shingle), "place long, value long").groupBy("place").agg(F.sum("value").alias("value"))
+    counts = dense_table(settle(cells, "similar-counts"), _COUNTED, "int64")
+    firsts = texts.select("node", "text").mapInArrow(_prefixed(shingle, similarity, counts), "node long, size int, firsts binary")
+    rooted = settle(firsts, "similar-firsts").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    keyed = rooted.select("node", "root", "size", "firsts").mapInArrow(_spread, "key long, node long, root long, size int, place int")
+    runs = keyed.repartition("key").sortWithinPartitions("key")
+    return runs.mapInArrow(_met(similarity), "node long, other long")
 
 
 def _nodes(links: DataFrame, ends: DataFrame) -> DataFrame:
@@ -222,6 +286,7 @@ def similar(
     """``node, id, root`` of each distinct pair of id and text: ``root`` is the same where links of ``similarity`` or more lead.
 
     ``node`` is a hash of id and text. Null text has no words; texts without words are alike. Other columns are ignored.
+    ``similarity`` is above 0.
     """
     texts = docs.select(node_of(doc_id, text).alias("node"), F.col(doc_id).cast("long").alias("id"), present(text).cast("binary").alias("text"))
     printed = settle(texts.mapInArrow(_printed(prints), "node long, id long, prints array<long>"), "similar-prints")
@@ -233,7 +298,7 @@ def similar(
     ranked = _ranked(ends)
     near = _nodes(ranked.where(F.col("place") <= NEAREST), ends)
     rooted = components(_checked(same.unionByName(near), texts, shingle, similarity), "node", "root")
-    found = _checked(_unjoined(own, ranked, rooted, ends), texts, shingle, similarity)
+    found = _checked(_unjoined(texts, rooted, shingle, similarity), texts, shingle, similarity)
     if not found.isEmpty():
         rooted = components(found.unionByName(rooted.select(F.col("node").alias("a"), F.col("root").alias("b"))), "node", "root")
     every = printed.groupBy("node").agg(F.min("id").alias("id"))

@@ -143,3 +143,53 @@ def test_recall_over_the_benchmark_documents(spark):
         linked[root].add(top(i))
     joined = [g for g in linked.values() if len(g) > 1]
     assert not [g for g in joined if any(re.search(r"\w", texts[i] or "") for i in g)]
+
+
+@pytest.mark.parametrize("similarity", [0.6, 0.8])
+def test_every_pair_that_passes_is_joined(spark, similarity):
+    """Also those whose fingerprints are far apart."""
+    rng = random.Random(11)
+    texts = []
+    for n in range(120):
+        words = [f"w{rng.randint(0, 300)}" for _ in range(rng.choice([22, 50, 60]))]
+        texts.append(" ".join(words))
+        for i in (len(words) // 2, 1):  # one word changed, then two
+            words[i] = f"m{n}"
+            texts.append(" ".join(words))
+    sets = [shingles(t) for t in texts]
+    group = list(range(len(texts)))
+
+    def top(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    held = defaultdict(set)
+    for i, own in enumerate(sets):
+        for j in {j for s in own for j in held[s]}:
+            if len(own & sets[j]) / len(own | sets[j]) >= similarity:
+                group[top(i)] = top(j)
+        for s in own:
+            held[s].add(i)
+    wanted = defaultdict(set)
+    for i in range(len(texts)):
+        wanted[top(i)].add(i)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = defaultdict(set)
+    for r in similar.similar(docs, similarity=similarity).collect():
+        found[r.root].add(r.id)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, wanted.values()))
+
+
+def test_meeting_finds_pairs_of_other_roots_in_long_and_short_runs():
+    for n in (5, 200):
+        nodes = np.arange(n)
+        roots = np.where(nodes % 3, nodes, 0)
+        sizes = np.where(nodes == 1, 5, 10)
+        lot = [np.full(n, 7), nodes, roots, sizes, np.where(nodes == 2, 9, 0)]
+        pairs = {tuple(sorted(p)) for p in np.concatenate(list(similar.meeting(lot, 0.8, 100)), axis=1).T.tolist()}
+        able = [i for i in range(n) if i not in (1, 2)]  # one is too short, of the other too little is left
+        assert pairs == {(a, b) for a in able for b in able if a < b and roots[a] != roots[b]}
+    none = [np.zeros(3, int), np.array([4, 2, 3]), np.array([4, 2, 3]), np.zeros(3, int), np.zeros(3, int)]
+    assert [p.tolist() for p in similar.meeting(none, 0.8)] == [[[4, 2, 3], [2, 2, 2]]]
+    assert [similar.prefix(n, 0.8) for n in (0, 1, 4, 5, 10)] == [0, 1, 1, 2, 3]
