@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import sys
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -10,6 +12,9 @@ from pyspark.sql.types import StructType
 from ranklake.session import delete_path, match_paths
 from ranklake.sources.parquet import scan_table
 
+#: Row groups of a file, where these are limited.
+GROUPS_PER_FILE = 256
+
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Exactly the columns and types of ``schema``; a missing column is an error."""
@@ -25,9 +30,12 @@ def append(df: DataFrame, path: str, by: list[str] = ()) -> None:
     df.write.mode("append").partitionBy(*by).parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, by: list[str], rows_per_file: int = 0) -> None:
-    """Replace the partitions that ``df`` has rows for; leave the others."""
-    writer = _grouped(df, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def overwrite_partitions(df: DataFrame, path: str, by: list[str], rows_per_file: int = 0, lies_grouped: bool = False) -> None:
+    """Replace the partitions that ``df`` has rows for; leave the others.
+
+    With ``lies_grouped`` the rows are those of a table written by ``by``, and are not shuffled again.
+    """
+    writer = (df if lies_grouped else _grouped(df, by)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.option("maxRecordsPerFile", rows_per_file).partitionBy(*by).parquet(path)
 
 
@@ -47,14 +55,31 @@ def write_partitioned(
 ) -> None:
     """Write one folder per value of ``by``, with few files per folder and bounded rows per file.
 
-    ``rows_per_group`` limits the rows of a row group, for readers that hold a group in memory.
-    Left out, groups grow to Spark's default size, which scans faster.
+    ``rows_per_group`` limits the rows of a row group, for readers that hold a group in memory, and a file then has at most
+    ``GROUPS_PER_FILE`` groups: writers and readers hold what describes all groups of a file. Left out, groups grow to Spark's
+    default size, which scans faster.
     ``seen`` is applied to the rows as they are written, to count them.
     """
-    writer = seen(_grouped(df, by)).write.mode(mode).option("maxRecordsPerFile", rows_per_file)
     if rows_per_group:
-        writer = writer.option("parquet.block.row.count.limit", rows_per_group)
-    writer.partitionBy(*by).parquet(path)
+        rows_per_file = min(rows_per_file or sys.maxsize, rows_per_group * GROUPS_PER_FILE)
+    writer = seen(_grouped(df, by)).write.mode(mode).option("maxRecordsPerFile", rows_per_file)
+    if not rows_per_group:
+        writer.partitionBy(*by).parquet(path)
+        return
+    # Small groups make open files cheap, so a task keeps some open rather than sort all of its rows by folder.
+    with _files_open(df.sparkSession):
+        writer.option("parquet.block.row.count.limit", rows_per_group).partitionBy(*by).parquet(path)
+
+
+@contextmanager
+def _files_open(spark: SparkSession, most: int = 64) -> Iterator[None]:
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 # A state table is rewritten whole by every run, from its own rows. Each run writes a folder of

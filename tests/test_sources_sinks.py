@@ -232,3 +232,20 @@ def test_bare_value_layout_is_read_back_into_columns(spark, rows):
     found = parquet.scan_with_source(spark, f"{base}/league", df.schema)
     got = with_path_columns(found, ["region", "platform", "tier", "division"])
     assert rows(got, "match_id", "region", "platform", "tier", "division") == [("a", "asia", "kr", "gold", "all")]
+
+
+def test_small_row_groups_are_bounded_in_a_file(spark, tmp_path, monkeypatch):
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(tables, "GROUPS_PER_FILE", 3)
+    name, path = "spark.sql.maxConcurrentOutputFileWriters", str(tmp_path / "groups")
+    before = spark.conf.get(name)
+    df = spark.range(1000).selectExpr("id % 3 AS part", "id")
+    tables.write_partitioned(df, path, ["part"], rows_per_group=10)
+    files = [pq.ParquetFile(p).metadata for p in (tmp_path / "groups").rglob("*.parquet")]
+    assert spark.conf.get(name) == before
+    assert sum(f.num_rows for f in files) == 1000
+    assert max(f.num_row_groups for f in files) <= 3 and max(f.row_group(g).num_rows for f in files for g in range(f.num_row_groups)) <= 10
+    tables.write_partitioned(df, path, ["part"], rows_per_file=7, rows_per_group=10, mode="overwrite")
+    assert max(pq.ParquetFile(p).metadata.num_rows for p in (tmp_path / "groups").rglob("*.parquet")) <= 7
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(1000))
