@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ranklake.session import delete_path, path_exists
-from ranklake.sinks.tables import overwrite_partitions
+from ranklake.sinks import tables
+from ranklake.sinks.tables import overwrite_lying as overwrite_partitions
 from ranklake.sources.parquet import scan_with_source
 
 _RECORD = "schema string, by array<string>, drops array<string>"
@@ -44,7 +45,7 @@ def prepare(df: DataFrame, table: str, by: list[str], drops: list[str] = ()) ->
     spark = df.sparkSession
     root = journal_path(table)
     delete_path(spark, root)  # what an attempt left that never committed
-    overwrite_partitions(df, f"{root}/rows", by)
+    overwrite_partitions(tables._grouped(df, by), f"{root}/rows", by)
     record = [(df.schema.json(), list(by), list(drops))]
     spark.createDataFrame(record, _RECORD).coalesce(1).write.json(f"{root}/commit")
 

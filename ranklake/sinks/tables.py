@@ -30,12 +30,14 @@ def append(df: DataFrame, path: str, by: list[str] = ()) -> None:
     df.write.mode("append").partitionBy(*by).parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, by: list[str], rows_per_file: int = 0, lies_grouped: bool = False) -> None:
-    """Replace the partitions that ``df`` has rows for; leave the others.
+def overwrite_partitions(df: DataFrame, path: str, by: list[str], rows_per_file: int = 0) -> None:
+    """Replace the partitions that ``df`` has rows for; leave the others."""
+    overwrite_lying(_grouped(df, by), path, by, rows_per_file)
 
-    With ``lies_grouped`` the rows are those of a table written by ``by``, and are not shuffled again.
-    """
-    writer = (df if lies_grouped else _grouped(df, by)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+
+def overwrite_lying(df: DataFrame, path: str, by: list[str], rows_per_file: int = 0) -> None:
+    """The same for rows that lie grouped already, such as those of a table written by ``by``: they are not shuffled."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.option("maxRecordsPerFile", rows_per_file).partitionBy(*by).parquet(path)
 
 

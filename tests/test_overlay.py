@@ -223,3 +223,16 @@ def test_match_ids_end_a_replacement_before_they_append(spark, lake, monkeypatch
     with pytest.raises(Exception):
         match_ids.run_ids(spark, "/nowhere", None, None, table, "1", "2024-01-06", LATE)
     assert called == [table]
+
+
+def test_a_replacement_shuffles_its_rows_once(spark, tmp_path, monkeypatch):
+    from ranklake.sinks import tables
+
+    table, calls, dealt = str(tmp_path / "t"), [], tables._grouped
+    spark.range(100).selectExpr("id", "id % 3 AS part").write.partitionBy("part").parquet(table)
+    monkeypatch.setattr(tables, "_grouped", lambda df, by: calls.append(by) or dealt(df, by))
+    rows = spark.read.parquet(table).where("part < 2").selectExpr("id + 1000 AS id", "part")
+    journal.replace_partitions(rows, table, ["part"])
+    assert calls == [["part"]]
+    found = sorted(r.id for r in spark.read.parquet(table).collect())
+    assert found == sorted(i if i % 3 == 2 else i + 1000 for i in range(100))
