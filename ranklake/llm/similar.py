@@ -9,7 +9,11 @@ below it, and documents of one fingerprint with two of them. This links most of
 
 What these links leave apart is then joined without loss. Shingles are put in one order, from seldom to frequent, and two
 texts that share enough of them share one of the first few of each (a prefix filter). Texts of different roots that meet under such a
-shingle, and whose places in the order leave room for the overlap, are candidates too. The order only sets the work, not the result.
+shingle, and whose places in the order leave room for the overlap, may be alike. These pairs are not written down, as a group of texts
+that overlap by somewhat less has a number of them that grows with its square: each text goes on once for each shingle under which it
+meets another, with a sketch of its shingles that bounds the overlap of two texts from above. Pairs that the sketches leave are
+candidates: in a long run first the nearest of each text, then, of what their links leave apart, all.
+The order and the sketches only set the work, not the result.
 Every candidate pair is checked on the sets of its shingles, and only pairs that pass are links.
 """
 
@@ -38,6 +42,8 @@ SHORT = ((16, 8), (32, 6), (96, 2))
 _REMEMBERED = 100_000
 #: Shingles are counted by so many bits of their hash. A run of rows up to this length is compared step by step.
 _COUNTED, _LONG = 18, 64
+#: Bits of a sketch for each shingle, and the logarithms of the fewest and the most of a text.
+_SKETCHED, _BITS = 4, (6, 12)
 _SLACK = 1e-6
 _WORDS: dict[bytes, int] = {}
 
@@ -92,6 +98,44 @@ def overlap(a: np.ndarray, b: np.ndarray) -> float:
     return both / every if every else 1.0
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """Bits that say whether an odd number of a text's shingles falls on them; their number is a power of two that grows with the text's."""
+    bits = 1 << min(max((_SKETCHED * len(own) - 1).bit_length(), _BITS[0]), _BITS[1])
+    counts = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(sketches: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By length in words of 64 bits: the sketches of that length or more as rows, folded to it, and for each sketch its row (-1: none)."""
+    words = np.fromiter(map(len, sketches), np.int64, len(sketches)) // 8
+    out, held = {}, np.empty(0, np.int64)
+    length = int(words.max(initial=0))
+    rows = np.empty((0, length), np.uint64)
+    while length:
+        own = np.flatnonzero(words == length)
+        rows = np.concatenate([rows, np.frombuffer(b"".join(sketches[own]), np.uint64).reshape(-1, length)])
+        held = np.concatenate([held, own])
+        if len(own):
+            at = np.full(len(words), -1)
+            at[held] = np.arange(len(held))
+            out[length] = at, rows
+        length //= 2
+        rows = rows[:, :length] ^ rows[:, length : 2 * length]
+    return out
+
+
+def differing(folds: dict[int, tuple[np.ndarray, np.ndarray]], one: np.ndarray, two: np.ndarray, most: int = 1 << 14) -> np.ndarray:
+    """Bits at which the sketches at ``one`` and ``two`` differ: each needs a shingle that only one of both texts has."""
+    out = np.full(len(one), -1)
+    for length in sorted(folds, reverse=True):
+        at, rows = folds[length]
+        able = np.flatnonzero((out < 0) & (at[one] >= 0) & (at[two] >= 0))
+        for i in range(0, len(able), most):
+            part = able[i : i + most]
+            out[part] = np.bitwise_count(rows[at[one[part]]] ^ rows[at[two[part]]]).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def _printed(prints: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,13 +184,15 @@ def _counts(shingle: int):
 def _prefixed(shingle: int, similarity: float, counts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, firsts = [], []
+            sizes, firsts, sketches = [], [], []
             for t in batch["text"]:
                 own = shingle_set(t.as_py(), shingle)
                 order = np.lexsort((own, counts[(own >> np.uint64(64 - _COUNTED)).astype(np.int64)]))
                 sizes.append(len(own))
                 firsts.append(own[order[: prefix(len(own), similarity)]].tobytes())
-            yield pa.RecordBatch.from_arrays([batch["node"], pa.array(sizes, pa.int32()), pa.array(firsts, pa.binary())], names=["node", "size", "firsts"])
+                sketches.append(sketch(own))
+            columns = [batch["node"], pa.array(sizes, pa.int32()), pa.array(firsts, pa.binary()), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "size", "firsts", "sketch"])
 
     return run
 
@@ -227,12 +273,49 @@ def meeting(lot: list[np.ndarray], similarity: float, most: int = 1 << 17) -> It
         yield np.stack([nodes[one[able]], nodes[two[able]]])
 
 
-def _met(similarity: float):
+def _apart(lot: list[np.ndarray], similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places in the lot of pairs that meet."""
+    roots = lot[2]
+    for one, two in meeting([lot[0], np.arange(len(roots)), *lot[2:]], similarity):
+        apart = roots[one] != roots[two]
+        if apart.any():
+            yield one[apart], two[apart]
+
+
+def _meets(similarity: float):
+    """The rows that meet another one: no more than are read."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lot in _runs(batches):
-            for pairs in meeting(lot, similarity):
-                if pairs.size:
-                    pairs = np.unique(np.stack([pairs.max(axis=0), pairs.min(axis=0)]), axis=1)
+            meets = np.zeros(len(lot[0]), bool)
+            for one, two in _apart(lot, similarity):
+                meets[one] = meets[two] = True
+            if meets.any():
+                columns = [pa.array(lot[i][meets]) for i in (0, 1, 3, 4)]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "node", "size", "place"])
+
+    return run
+
+
+def _fitting(similarity: float, nearest: int | None):
+    """Pairs whose sketches leave room for the overlap. With ``nearest`` so many for each row that looks for partners in a long run."""
+    share = similarity / (1 + similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lot in _runs(batches):
+            nodes, sizes, folds = lot[1], lot[3], folded(lot[5])
+            for one, two in _apart(lot[:5], similarity):
+                both = sizes[one] + sizes[two]
+                apart = differing(folds, one, two)
+                fits = np.flatnonzero((both - apart) / 2 >= share * both - _SLACK)
+                if nearest:
+                    # The second of a pair looks for partners, and all that it meets in a long run are here.
+                    order = fits[np.lexsort((apart[fits] / np.maximum(both[fits], 1), two[fits]))]
+                    first = np.searchsorted(two[order], two[order])
+                    fits = order[(np.arange(len(order)) - first < nearest) | (both[order] == 0)]
+                if len(fits):
+                    a, b = nodes[one[fits]], nodes[two[fits]]
+                    pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
                     yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["node", "other"])
 
     return run
@@ -244,15 +327,32 @@ def _ranked(ends: DataFrame) -> DataFrame:
     return settle(near_links(ends).withColumn("place", F.row_number().over(nearest)), "similar-links")
 
 
-def _unjoined(texts: DataFrame, linked: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """``node, other``: what may be alike and ``linked`` leaves apart. No pair that is alike is missing."""
+def _rooted(rows: DataFrame, linked: DataFrame) -> DataFrame:
+    """``rows`` with the root of their node, itself if no link leads on."""
+    return rows.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _meeting(texts: DataFrame, linked: DataFrame, shingle: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """``key, node, size, place``: where a text meets one that ``linked`` leaves apart and that may be like it; ``node, sketch``.
+
+    Of no pair that is alike and apart a key is missing.
+    """
     cells = texts.select("text").mapInArrow(_counts(shingle), "place long, value long").groupBy("place").agg(F.sum("value").alias("value"))
     counts = dense_table(settle(cells, "similar-counts"), _COUNTED, "int64")
-    firsts = texts.select("node", "text").mapInArrow(_prefixed(shingle, similarity, counts), "node long, size int, firsts binary")
-    rooted = settle(firsts, "similar-firsts").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    keyed = rooted.select("node", "root", "size", "firsts").mapInArrow(_spread, "key long, node long, root long, size int, place int")
+    firsts = texts.select("node", "text").mapInArrow(_prefixed(shingle, similarity, counts), "node long, size int, firsts binary, sketch binary")
+    firsts = settle(firsts, "similar-firsts")
+    rooted = _rooted(firsts.select("node", "size", "firsts"), linked).select("node", "root", "size", "firsts")
+    keyed = rooted.mapInArrow(_spread, "key long, node long, root long, size int, place int")
     runs = keyed.repartition("key").sortWithinPartitions("key")
-    return runs.mapInArrow(_met(similarity), "node long, other long")
+    met = settle(runs.mapInArrow(_meets(similarity), "key long, node long, size int, place int"), "similar-met")
+    return met, firsts.select("node", "sketch")
+
+
+def _unjoined(met: DataFrame, sketches: DataFrame, linked: DataFrame, similarity: float, nearest: int | None = None) -> DataFrame:
+    """``node, other``: what may be alike and ``linked`` leaves apart. Without ``nearest`` no pair that is alike is missing."""
+    rows = _rooted(met, linked).join(first_of(sketches, ["node"]), "node").select("key", "node", "root", "size", "place", "sketch")
+    runs = rows.repartition("key").sortWithinPartitions("key")
+    return runs.mapInArrow(_fitting(similarity, nearest), "node long, other long")
 
 
 def _nodes(links: DataFrame, ends: DataFrame) -> DataFrame:
@@ -275,6 +375,13 @@ def _checked(found: DataFrame, texts: DataFrame, shingle: int, similarity: float
     return settle(sided.mapInArrow(_alike(similarity), "a long, b long"), "similar-alike")
 
 
+def _joined(rooted: DataFrame, found: DataFrame) -> DataFrame:
+    """``node, root`` with the links of ``found`` added."""
+    if found.isEmpty():
+        return rooted
+    return components(found.unionByName(rooted.select(F.col("node").alias("a"), F.col("root").alias("b"))), "node", "root")
+
+
 def similar(
     docs: DataFrame,
     shingle: int = SHINGLE,
@@ -298,9 +405,13 @@ def similar(
     ranked = _ranked(ends)
     near = _nodes(ranked.where(F.col("place") <= NEAREST), ends)
     rooted = components(_checked(same.unionByName(near), texts, shingle, similarity), "node", "root")
-    found = _checked(_unjoined(texts, rooted, shingle, similarity), texts, shingle, similarity)
-    if not found.isEmpty():
-        rooted = components(found.unionByName(rooted.select(F.col("node").alias("a"), F.col("root").alias("b"))), "node", "root")
+    met, sketches = _meeting(texts, rooted, shingle, similarity)
+    rooted = _joined(rooted, _checked(_unjoined(met, sketches, rooted, similarity, NEAREST), texts, shingle, similarity))
+    # Shorter runs have given all their pairs.
+    long = met.groupBy("key").count().where(F.col("count") > _LONG).select("key")
+    met = settle(met.join(long, "key", "left_semi"), "similar-long")
+    if not met.isEmpty():
+        rooted = _joined(rooted, _checked(_unjoined(met, sketches, rooted, similarity), texts, shingle, similarity))
     every = printed.groupBy("node").agg(F.min("id").alias("id"))
     return every.join(rooted, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root"))
 

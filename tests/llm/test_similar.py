@@ -193,3 +193,60 @@ def test_meeting_finds_pairs_of_other_roots_in_long_and_short_runs():
     none = [np.zeros(3, int), np.array([4, 2, 3]), np.array([4, 2, 3]), np.zeros(3, int), np.zeros(3, int)]
     assert [p.tolist() for p in similar.meeting(none, 0.8)] == [[[4, 2, 3], [2, 2, 2]]]
     assert [similar.prefix(n, 0.8) for n in (0, 1, 4, 5, 10)] == [0, 1, 1, 2, 3]
+
+
+def test_pairs_to_check_grow_with_the_texts_not_with_the_square_of_a_group(spark, monkeypatch):
+    rng = random.Random(21)
+    base = [f"w{rng.randint(0, 5000)}" for _ in range(150)]
+    texts = []
+    for n in range(200):  # one word changed: alike; three others: most overlap with the rest by 0.76 or less
+        words = list(base)
+        for i in rng.sample(range(5, 70), 1) if n % 2 else rng.sample(range(75, 145, 10), 3):
+            words[i] = f"n{n}"
+        texts.append(" ".join(words))
+    lots, checked = [], similar._checked
+
+    def counted(found, *how):
+        lots.append(found.count())
+        return checked(found, *how)
+
+    monkeypatch.setattr(similar, "_checked", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    roots = {r.id: r.root for r in similar.similar(docs).collect()}
+    assert sum(lots[1:]) < 10 * len(texts)  # the first lot is that of the fingerprints
+    # All pairs, compared in plain Python.
+    sets, group = [shingles(t) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if group[i] != group[j] and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8:
+                group = [group[i] if g == group[j] else g for g in group]
+    assert 20 < len(set(group)) == len(set(roots.values())) == len({(group[i], root) for i, root in roots.items()})
+
+
+def test_sketches_bound_what_only_one_text_has():
+    rng = np.random.default_rng(4)
+    pool = rng.integers(0, 1 << 63, 4000, dtype=np.uint64)
+    sets = [np.unique(rng.choice(pool[: 2 * n], n)) for n in (1, 3, 20, 30, 40, 200, 900, 2000, 3000)] + [np.empty(0, np.uint64)]
+    sketches = np.array([similar.sketch(s) for s in sets], object)
+    assert {len(s) * 8 for s in sketches} >= {64, 128, 1024, 4096}
+    one, two = (x.ravel() for x in np.indices((len(sets), len(sets))))
+    found = similar.differing(similar.folded(sketches), one, two, 7)
+    assert all(0 <= d <= len(np.setxor1d(sets[i], sets[j])) for i, j, d in zip(one, two, found))
+    assert not found[one == two].any() and (found[one != two] > 0).mean() > 0.9
+
+
+def test_a_long_run_gives_the_nearest_first_then_all_that_fit():
+    n = 100
+    sets = [np.unique(np.r_[np.arange(100), 1000 + 20 * i + np.arange(i % 20)]).astype(np.uint64) for i in range(n)]
+    sketches = [similar.sketch(s) for s in sets]
+    columns = [np.full(n, 7), np.arange(n), np.where(np.arange(n) % 4, np.arange(n), 0), np.array([len(s) for s in sets], np.int32), np.zeros(n, np.int32)]
+    names = ["key", "node", "root", "size", "place", "sketch"]
+    batch = pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(sketches, pa.binary())], names=names)
+
+    def pairs(nearest):
+        return {p for b in similar._fitting(0.8, nearest)(iter([batch])) for p in zip(b["node"].to_pylist(), b["other"].to_pylist())}
+
+    roots = columns[2]
+    alike = {(a, b) for a in range(n) for b in range(a) if roots[a] != roots[b] and similar.overlap(sets[a], sets[b]) >= 0.8}
+    assert alike and alike <= pairs(None)
+    assert pairs(2) <= pairs(None) and n / 2 < len(pairs(2)) <= 2 * n < len(alike)
